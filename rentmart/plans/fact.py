@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import UNKNOWN, UNKNOWN_SUBURB_ID, revenue, stays
+from rentmart.operators.joins import case_insensitive_left_join, composite_left_join, left_join
 
 FACT_COLUMNS = ["listing_idf", "date_id", "host_idf", "host_neighf", "listing_neigh_idf",
                 "price", "stays", "revenue", "review_scores_rating"]
@@ -32,10 +33,6 @@ MART_COLUMNS = ["year_month", "listing_neighbourhood", "host_neighbourhood_lga",
                 "review_scores_rating"]
 
 
-def _eq(a: Column, b: Column, null_safe: bool) -> Column:
-    return a.eqNullSafe(b) if null_safe else a == b
-
-
 def _and(conds: list[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:
@@ -48,33 +45,26 @@ def build_wide_fact(listings: DataFrame, dims: dict[str, DataFrame], price_cap:
     """Fact rows with ids, measures and the joined dimension attributes."""
     f = listings.filter(F.col("price") < price_cap)
 
-    dl = dims["dim_listing"].select(
-        F.col("listing_id").alias("listing_idf"), F.col("list_orig_id"),
-        *[F.col(c).alias(f"dl_{c}") for c in
-          ["property_type", "room_type", "accommodates", "has_availability", "number_of_reviews"]])
-    listing_on = _and([_eq(F.col("list_orig_id"), F.col("listing_id"), null_safe)] +
-                      [_eq(F.col(f"dl_{c}"), F.col(c), null_safe) for c in
-                       ["property_type", "room_type", "accommodates", "has_availability", "number_of_reviews"]])
-
-    dh = dims["dim_host"].select(
-        F.col("hosts_id").alias("host_idf"), F.col("host_orig_id"),
-        *[F.col(c).alias(f"dh_{c}") for c in ["host_name", "host_since", "host_is_superhost"]])
-    host_on = _and([_eq(F.col("host_orig_id"), F.col("host_id"), null_safe)] +
-                   [_eq(F.col(f"dh_{c}"), F.col(c), null_safe) for c in
-                    ["host_name", "host_since", "host_is_superhost"]])
-
-    ds = dims["dim_suburb"].select(F.col("suburb_id"), F.lower("suburb_name").alias("__suburb_key"),
+    attrs = ["property_type", "room_type", "accommodates", "has_availability", "number_of_reviews"]
+    dl = dims["dim_listing"].select(F.col("listing_id").alias("listing_idf"), F.col("list_orig_id"),
+                                    *[F.col(c).alias(f"dl_{c}") for c in attrs])
+    host_attrs = ["host_name", "host_since", "host_is_superhost"]
+    dh = dims["dim_host"].select(F.col("hosts_id").alias("host_idf"), F.col("host_orig_id"),
+                                 *[F.col(c).alias(f"dh_{c}") for c in host_attrs])
+    ds = dims["dim_suburb"].select("suburb_id", F.col("suburb_name").alias("ds_suburb_name"),
                                    F.col("lga_name").alias("ds_lga_name"))
     dg = dims["dim_lga"].select(F.col("lga_code_2016").alias("listing_neigh_idf"),
                                 F.col("lga_name").alias("dg_lga_name"))
+    dd = dims["dim_date"].select("date_id", F.col("year_month").alias("dd_year_month"))
+
+    j = composite_left_join(f, dl, [("listing_id", "list_orig_id")] + [(c, f"dl_{c}") for c in attrs],
+                            null_safe)
+    j = composite_left_join(j, dh, [("host_id", "host_orig_id")] + [(c, f"dh_{c}") for c in host_attrs],
+                            null_safe)
+    j = case_insensitive_left_join(j, ds, "host_neighbourhood", "ds_suburb_name")
+    j = left_join(j, dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"))
     # months of the data: bounded by the calendar
-    dd = F.broadcast(dims["dim_date"].select("date_id", F.col("year_month").alias("dd_year_month")))
-
-    j = (f.join(dl, listing_on, "left")
-         .join(dh, host_on, "left")
-         .join(ds, F.col("__suburb_key") == F.lower("host_neighbourhood"), "left")
-         .join(dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"), "left")
-         .join(dd, F.col("dd_year_month") == F.col("year_month"), "left"))
+    j = left_join(j, dd, F.col("dd_year_month") == F.col("year_month"), bounded=True)
 
     return j.select(
         "listing_idf", "date_id", "host_idf",
@@ -127,12 +117,12 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
                         "has_availability", "number_of_reviews"]])
     host_ok = _and([F.col(c).isNotNull() for c in
                     ["host_id", "host_name", "host_since", "host_is_superhost"]])
-    ds = dim_suburb.select(F.col("suburb_id"), F.lower("suburb_name").alias("__suburb_key"),
+    ds = dim_suburb.select("suburb_id", F.col("suburb_name").alias("ds_suburb_name"),
                            F.col("lga_name").alias("ds_lga_name"))
     dg = dim_lga.select(F.col("lga_name").alias("dg_lga_name"))
-    j = (listings.filter(F.col("price") < price_cap)
-         .join(ds, F.col("__suburb_key") == F.lower("host_neighbourhood"), "left")
-         .join(dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"), "left"))
+    j = case_insensitive_left_join(listings.filter(F.col("price") < price_cap), ds,
+                                   "host_neighbourhood", "ds_suburb_name")
+    j = left_join(j, dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"))
     return j.select(
         "year_month",
         F.col("dg_lga_name").alias("listing_neighbourhood"),

@@ -9,46 +9,347 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from rentmart.functions import expr as X
+from rentmart.operators import joins as J
+from rentmart.operators import quality as Q
+from rentmart.operators.keys import dense_surrogate_key
+from rentmart.operators.window import pct_change
+from rentmart.plans import adhoc as A
 from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
 from rentmart.sources import testmap
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 
 
-def _staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def register(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+# ---- shared inputs -------------------------------------------------------------
+
+def _staging(spark, sf_dir) -> dict[str, DataFrame]:
     return testmap.staging(spark, sf_dir)
 
 
-def _mart_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = _staging(spark, sf_dir)
-    listings = D.load_listings(st["listings"])
-    lga = D.dim_lga(st["census_1"], st["census_2"], st["lga_code"])
-    return FT.mart_input_direct(listings, lga, D.dim_suburb(st["lga_suburb"], lga))
+def _listings(spark, sf_dir) -> DataFrame:
+    return D.load_listings(testmap.listings(spark, sf_dir))
+
+
+def _lga(spark, sf_dir) -> DataFrame:
+    return D.dim_lga(testmap.census_1(spark, sf_dir), testmap.census_2(spark, sf_dir),
+                     testmap.lga_code(spark, sf_dir))
+
+
+def _suburb(spark, sf_dir) -> DataFrame:
+    return D.dim_suburb(testmap.lga_suburb(spark, sf_dir), _lga(spark, sf_dir))
+
+
+def _mart_input(spark, sf_dir) -> DataFrame:
+    lga = _lga(spark, sf_dir)
+    return FT.mart_input_direct(_listings(spark, sf_dir), lga,
+                                D.dim_suburb(testmap.lga_suburb(spark, sf_dir), lga))
+
+
+def _dims(spark, sf_dir) -> dict[str, DataFrame]:
+    return D.build_dims(_staging(spark, sf_dir))
+
+
+ACTIVE = F.col("has_availability")
+
+
+# ---- sources / projections -------------------------------------------------------
+
+@register("month_floor")
+def q_month_floor(spark, sf_dir):
+    li = testmap.listings(spark, sf_dir)
+    return li.select("listing_id", "host_id", "scraped_date",
+                     X.month_floor("scraped_date").alias("year_month"),
+                     X.month_text("scraped_date").alias("year_month_text"))
+
+
+# ---- joins -----------------------------------------------------------------------
+
+@register("substr_prefix_join")
+def q_substr_prefix_join(spark, sf_dir):
+    c1 = testmap.census_1(spark, sf_dir).withColumn("__code", X.substr_prefix("lga_code_2016"))
+    j = J.left_join(c1, testmap.lga_code(spark, sf_dir), F.col("__code") == F.col("lga_code"))
+    return j.select(F.col("__code").alias("lga_code_2016"), "lga_name", "tot_p_p")
+
+
+@register("case_insensitive_join")
+def q_case_insensitive_join(spark, sf_dir):
+    lga = _lga(spark, sf_dir).select(F.col("lga_code_2016").alias("lga_code"),
+                                     F.col("lga_name").alias("dim_lga_name"))
+    j = J.case_insensitive_left_join(testmap.lga_suburb(spark, sf_dir), lga, "lga_name", "dim_lga_name")
+    return j.select("suburb_name", F.col("lga_name").alias("suburb_lga_name"), "lga_code", "dim_lga_name")
+
+
+@register("lookup_with_default")
+def q_lookup_with_default(spark, sf_dir):
+    li = testmap.listings(spark, sf_dir)
+    sub = _suburb(spark, sf_dir).select("suburb_id", F.lower("suburb_name").alias("__sk"))
+    j = J.lookup_with_default(li.withColumn("__hk", F.lower("host_neighbourhood")), sub,
+                              F.col("__hk") == F.col("__sk"), "suburb_id", "host_neighf",
+                              X.UNKNOWN_SUBURB_ID)
+    return j.select("listing_id", "host_id", "scraped_date", "host_neighbourhood",
+                    F.col("host_neighf").cast("bigint").alias("host_neighf"))
+
+
+def _composite(spark, sf_dir, null_safe: bool):
+    li = _listings(spark, sf_dir)
+    dl = D.dim_listing(li).select(F.col("listing_id").alias("listing_idf"), "list_orig_id",
+                                  *[F.col(c).alias(f"d_{c}") for c in D.LISTING_TUPLE[1:]])
+    j = J.composite_left_join(li, dl, [("listing_id", "list_orig_id")] +
+                              [(c, f"d_{c}") for c in D.LISTING_TUPLE[1:]], null_safe)
+    return j.select("listing_id", "host_id", "scraped_date", "has_availability", "listing_idf")
+
+
+@register("composite_key_join")
+def q_composite_key_join(spark, sf_dir):
+    return _composite(spark, sf_dir, False)
+
+
+@register("composite_key_join_null_safe")
+def q_composite_key_join_null_safe(spark, sf_dir):
+    return _composite(spark, sf_dir, True)
+
+
+@register("price_cap_left_join")
+def q_price_cap_left_join(spark, sf_dir):
+    li = _listings(spark, sf_dir).filter(F.col("price") < 2000)
+    lga = _lga(spark, sf_dir).select(F.col("lga_code_2016").alias("listing_neigh_idf"),
+                                     F.col("lga_name").alias("__lga_name"))
+    j = J.left_join(li, lga, F.col("__lga_name") == F.col("listing_neighbourhood"))
+    return j.select("listing_id", "host_id", "scraped_date", "price", "listing_neigh_idf")
+
+
+# ---- distinct, keys, union ----------------------------------------------------------
+
+@register("distinct_tuple")
+def q_distinct_tuple(spark, sf_dir):
+    li = testmap.listings(spark, sf_dir)
+    return li.select(F.col("host_id").alias("host_orig_id"), "host_name", "host_since",
+                     "host_is_superhost").distinct()
+
+
+@register("dense_surrogate_key")
+def q_dense_surrogate_key(spark, sf_dir):
+    li = _listings(spark, sf_dir)
+    t = li.select("host_id", "listing_id", "year_month").distinct()
+    return dense_surrogate_key(t, ["host_id", "listing_id", "year_month"], "row_id", method="range")
+
+
+@register("union_member")
+def q_union_member(spark, sf_dir):
+    # the suburb list with the appended 'unknown' member
+    return _suburb(spark, sf_dir).select("suburb_name", "lga_code", "lga_name")
+
+
+# ---- dimensions and fact --------------------------------------------------------------
+
+@register("dim_lga")
+def q_dim_lga(spark, sf_dir):
+    return _lga(spark, sf_dir)
+
+
+@register("dim_suburb")
+def q_dim_suburb(spark, sf_dir):
+    return _suburb(spark, sf_dir)
+
+
+@register("dim_host")
+def q_dim_host(spark, sf_dir):
+    return D.dim_host(_listings(spark, sf_dir))
 
 
+@register("dim_listing")
+def q_dim_listing(spark, sf_dir):
+    return D.dim_listing(_listings(spark, sf_dir))
+
+
+@register("dim_date")
+def q_dim_date(spark, sf_dir):
+    return D.dim_date(_listings(spark, sf_dir))
+
+
+@register("fact")
+def q_fact(spark, sf_dir):
+    dims = _dims(spark, sf_dir)
+    return FT.build_fact(dims["listings"], dims)
+
+
+# ---- aggregates ------------------------------------------------------------------------
+
+@register("count_if")
+def q_count_if(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    return s.groupBy("listing_neighbourhood", "year_month").agg(
+        X.count_if(ACTIVE).alias("n_active"), X.count_if(~ACTIVE).alias("n_inactive"),
+        X.count_if(ACTIVE.isNotNull()).alias("n_known"))
+
+
+@register("min_max_if")
+def q_min_max_if(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    return s.groupBy("property_type", "year_month").agg(
+        X.min_if(ACTIVE, "price").alias("min_price_act"), X.max_if(ACTIVE, "price").alias("max_price_act"))
+
+
+@register("median_if")
+def q_median_if(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    return s.groupBy("listing_neighbourhood", "year_month").agg(
+        X.median_if(ACTIVE, "price").alias("median_price_act"))
+
+
+@register("approx_median_if")
+def q_approx_median_if(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    return s.groupBy("listing_neighbourhood", "year_month").agg(
+        X.approx_median_if(ACTIVE, "price").alias("approx_median_price_act"))
+
+
+@register("count_distinct_if")
+def q_count_distinct_if(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    return s.groupBy("host_neighbourhood_lga", "year_month").agg(
+        F.count_distinct("host_orig_id").alias("n_hosts"),
+        X.count_distinct_if("host_is_superhost", "host_orig_id").alias("n_superhosts"))
+
+
+@register("rate_of_counts")
+def q_rate_of_counts(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    g = s.groupBy("listing_neighbourhood").agg(
+        X.count_if(ACTIVE).alias("__a"), X.count_if(ACTIVE.isNotNull()).alias("__k"),
+        X.count_distinct_if("host_is_superhost", "host_orig_id").alias("__s"),
+        F.count_distinct("host_orig_id").alias("__h"))
+    return g.select("listing_neighbourhood", X.ratio_pct("__a", "__k").alias("active_listings_rate"),
+                    X.ratio_pct("__s", "__h").alias("super_host_rate"))
+
+
+@register("sum_if")
+def q_sum_if(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    return s.groupBy("room_type", "year_month").agg(
+        X.sum_if(ACTIVE, "stays").alias("stays_act"), X.sum_if(ACTIVE, "revenue").alias("revenue_act"),
+        F.sum("revenue").alias("revenue_all"))
+
+
+@register("lag_over_aggregate")
+def q_lag_over_aggregate(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    g = s.groupBy("listing_neighbourhood", "year_month").agg(X.count_if(ACTIVE).alias("n_active"))
+    w = Window.partitionBy("listing_neighbourhood").orderBy(F.col("year_month").asc_nulls_first())
+    return g.withColumn("prev_n_active", F.lag("n_active").over(w))
+
+
+@register("pct_change")
+def q_pct_change(spark, sf_dir):
+    s = _mart_input(spark, sf_dir)
+    g = s.groupBy("property_type", "year_month").agg(X.count_if(~ACTIVE).alias("n_inactive"))
+    w = Window.partitionBy("property_type").orderBy(F.col("year_month").asc_nulls_first())
+    return g.withColumn("pct_change_inactive", pct_change("n_inactive", w))
+
+
+@register("top_k")
+def q_top_k(spark, sf_dir):
+    m1 = M.dm_listing_neighbourhood(_mart_input(spark, sf_dir))
+    return (m1.filter(F.col("average_estimated_revenue_per_active_listings").isNotNull())
+            .orderBy(F.desc("average_estimated_revenue_per_active_listings"),
+                     F.asc_nulls_first("listing_neighbourhood"), F.asc("year_month"))
+            .limit(10)
+            .select("listing_neighbourhood", "year_month", "average_estimated_revenue_per_active_listings"))
+
+
+# ---- quality ---------------------------------------------------------------------------
+
+@register("check_unique")
+def q_check_unique(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return Q.union_all([
+        Q.check_unique(d["dim_date"], "date_id", "dim_date"),
+        Q.check_unique(d["dim_host"], "hosts_id", "dim_host"),
+        Q.check_unique(d["dim_lga"], "lga_code_2016", "dim_lga"),
+        Q.check_unique(d["dim_listing"], "listing_id", "dim_listing"),
+        Q.check_unique(d["dim_suburb"], "suburb_id", "dim_suburb"),
+        Q.check_unique(d["dim_suburb"], F.lower("suburb_name"), "dim_suburb", "lower(suburb_name)"),
+    ])
+
+
+@register("check_foreign_key")
+def q_check_foreign_key(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    f = FT.build_fact(d["listings"], d)
+    return Q.union_all([
+        Q.check_foreign_key(f, "date_id", d["dim_date"], "date_id", "fk_dim_date"),
+        Q.check_foreign_key(f, "host_idf", d["dim_host"], "hosts_id", "fk_dim_host"),
+        Q.check_foreign_key(f, "listing_neigh_idf", d["dim_lga"], "lga_code_2016", "fk_dim_lga"),
+        Q.check_foreign_key(f, "listing_idf", d["dim_listing"], "listing_id", "fk_dim_listing"),
+        Q.check_foreign_key(f, "host_neighf", d["dim_suburb"], "suburb_id", "fk_dim_suburb"),
+    ])
+
+
+@register("table_profile")
+def q_table_profile(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return Q.table_profile(FT.build_fact(d["listings"], d))
+
+
+# ---- marts -----------------------------------------------------------------------------
+
+@register("dm_listing_neighbourhood")
 def q_dm_listing_neighbourhood(spark, sf_dir):
     return M.dm_listing_neighbourhood(_mart_input(spark, sf_dir))
 
 
+@register("dm_listing_neighbourhood_star")
+def q_dm_listing_neighbourhood_star(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return M.dm_listing_neighbourhood(FT.star_view(FT.build_fact(d["listings"], d), d))
+
+
+@register("dm_property_type")
 def q_dm_property_type(spark, sf_dir):
     return M.dm_property_type(_mart_input(spark, sf_dir), divisor="active")
 
 
+@register("dm_property_type_all_divisor")
 def q_dm_property_type_all_divisor(spark, sf_dir):
     return M.dm_property_type(_mart_input(spark, sf_dir), divisor="all")
 
 
+@register("dm_host_neighbourhood")
 def q_dm_host_neighbourhood(spark, sf_dir):
     return M.dm_host_neighbourhood(_mart_input(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {
-    "dm_listing_neighbourhood": q_dm_listing_neighbourhood,
-    "dm_property_type": q_dm_property_type,
-    "dm_property_type_all_divisor": q_dm_property_type_all_divisor,
-    "dm_host_neighbourhood": q_dm_host_neighbourhood,
-}
+# ---- ad-hoc ----------------------------------------------------------------------------
+
+@register("best_worst_population")
+def q_best_worst_population(spark, sf_dir):
+    return A.best_worst_population(_mart_input(spark, sf_dir), _lga(spark, sf_dir), 12)
+
+
+@register("best_listing_type")
+def q_best_listing_type(spark, sf_dir):
+    return A.best_listing_type(_mart_input(spark, sf_dir), 5)
+
+
+@register("multi_host_same_lga")
+def q_multi_host_same_lga(spark, sf_dir):
+    return A.multi_host_same_lga(_mart_input(spark, sf_dir))
+
+
+@register("mortgage_coverage")
+def q_mortgage_coverage(spark, sf_dir):
+    return A.mortgage_coverage(_mart_input(spark, sf_dir), _lga(spark, sf_dir), 12)
