@@ -51,26 +51,37 @@ def dim_suburb(lga_suburb: DataFrame, dim_lga_df: DataFrame, key_method: str = "
     return keyed.select("suburb_id", "suburb_name", "lga_code", "lga_name").unionByName(unknown)
 
 
+def host_tuples(listings: DataFrame) -> DataFrame:
+    """DISTINCT (host, name, since, superhost): the whole tuple, not the host."""
+    return listings.select(F.col("host_id").alias("host_orig_id"), "host_name", "host_since",
+                           "host_is_superhost").distinct()
+
+
+def listing_tuples(listings: DataFrame) -> DataFrame:
+    return listings.select(F.col("listing_id").alias("list_orig_id"), "property_type", "room_type",
+                           "accommodates", "has_availability", "number_of_reviews").distinct()
+
+
+def month_tuples(listings: DataFrame) -> DataFrame:
+    """GROUP BY year_month without aggregates."""
+    return listings.select("year_month").distinct()
+
+
 def dim_host(listings: DataFrame, key_method: str = "range") -> DataFrame:
-    """Distinct (host, name, since, superhost) tuples numbered in tuple order."""
-    tuples = listings.select(F.col("host_id").alias("host_orig_id"), "host_name", "host_since",
-                             "host_is_superhost").distinct()
-    keyed = dense_surrogate_key(tuples, HOST_TUPLE, "hosts_id", method=key_method)
+    """Distinct host tuples numbered in tuple order."""
+    keyed = dense_surrogate_key(host_tuples(listings), HOST_TUPLE, "hosts_id", method=key_method)
     return keyed.select("hosts_id", *HOST_TUPLE)
 
 
 def dim_listing(listings: DataFrame, key_method: str = "range") -> DataFrame:
     """Distinct listing tuples numbered in tuple order."""
-    tuples = listings.select(F.col("listing_id").alias("list_orig_id"), "property_type", "room_type",
-                             "accommodates", "has_availability", "number_of_reviews").distinct()
-    keyed = dense_surrogate_key(tuples, LISTING_TUPLE, "listing_id", method=key_method)
+    keyed = dense_surrogate_key(listing_tuples(listings), LISTING_TUPLE, "listing_id", method=key_method)
     return keyed.select("listing_id", *LISTING_TUPLE)
 
 
 def dim_date(listings: DataFrame) -> DataFrame:
     """Distinct months numbered in order (D7); bounded by the calendar, so one window."""
-    months = listings.select("year_month").distinct()
-    keyed = dense_surrogate_key(months, ["year_month"], "date_id", method="window")
+    keyed = dense_surrogate_key(month_tuples(listings), ["year_month"], "date_id", method="window")
     return keyed.select("date_id", "year_month")
 
 

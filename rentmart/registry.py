@@ -21,7 +21,9 @@ from rentmart.plans import adhoc as A
 from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
-from rentmart.sources import testmap
+from rentmart.session import scratch_path
+from rentmart.sources import csv_feed, testmap
+from rentmart.streaming.incremental import IncrementalMarts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +78,61 @@ def q_month_floor(spark, sf_dir):
                      X.month_text("scraped_date").alias("year_month_text"))
 
 
+def _write_feeds(spark, sf_dir, root: str) -> dict[str, str]:
+    """Write the five mapped feeds as CSV folders under ``root``; returns their paths."""
+    paths = {}
+    for name, df in _staging(spark, sf_dir).items():
+        paths[name] = f"{root}/{name}"
+        csv_feed.write_feed(df, name, paths[name], salt=F.xxhash64(*df.columns[:3]))
+    return paths
+
+
+@register("positional_projection")
+def q_positional_projection(spark, sf_dir):
+    """Listings written as CSV text (NULL tokens, '93.0' integers, skipped field), read back typed."""
+    path = scratch_path(spark, "listings-feed")
+    li = testmap.listings(spark, sf_dir)
+    csv_feed.write_feed(li, "listings", path, salt=F.xxhash64("host_id", "listing_id", "scraped_date"))
+    return csv_feed.read_feed(spark, path, "listings")
+
+
+@register("csv_null_tokens")
+def q_csv_null_tokens(spark, sf_dir):
+    """Per-column NULL counts and ranges of the listings after the CSV round trip."""
+    return Q.table_profile(q_positional_projection(spark, sf_dir))
+
+
+@register("csv_rebuild_dm_host_neighbourhood")
+def q_csv_rebuild(spark, sf_dir):
+    """The full rebuild from CSV feed folders through every layer; returns the stored M3."""
+    from rentmart.plans.pipeline import run_pipeline
+    root = scratch_path(spark, "rebuild")
+    marts = run_pipeline(spark, f"{root}/warehouse", feed_dirs=_write_feeds(spark, sf_dir, f"{root}/feeds"))
+    return marts["dm_host_neighbourhood"]
+
+
+@register("incremental_marts")
+def q_incremental_marts(spark, sf_dir):
+    """Listings arriving as four CSV drops (the last two going back to months already
+    loaded); after each drop the stream refreshes only the touched months. Returns
+    the listing-neighbourhood mart, which must equal the full rebuild."""
+    root = scratch_path(spark, "incremental")
+    st = _staging(spark, sf_dir)
+    inc = IncrementalMarts(spark, f"{root}/source", f"{root}/target")
+    inc.bootstrap(st)
+    d = F.col("scraped_date")
+    early, late = F.lit("1999-01-01").cast("date"), F.lit("1999-06-01").cast("date")
+    mid = (d >= early) & (d < late)
+    west = F.col("listing_neighbourhood") < "NATION_5"
+    drops = [d < early, d >= late, mid & west, mid & ~F.coalesce(west, F.lit(False))]
+    li = st["listings"]
+    for i, cond in enumerate(drops):
+        csv_feed.write_feed(li.filter(cond), "listings", f"{root}/source/drop_{i}",
+                            salt=F.xxhash64("host_id", "listing_id", "scraped_date"))
+        inc.run_once()
+    return inc.mart("dm_listing_neighbourhood")
+
+
 # ---- joins -----------------------------------------------------------------------
 
 @register("substr_prefix_join")
