@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import count_if, ratio, ratio_pct
+from rentmart.plans.marts import active
 
-ACTIVE = F.col("has_availability")
 
 PROFILE = ["tot_p_m", "tot_p_f", "tot_p_p", "median_age_persons", "median_mortgage_repay_monthly",
            "median_tot_prsnl_inc_weekly", "median_rent_weekly", "median_tot_fam_inc_weekly",
@@ -31,7 +31,7 @@ def revenue_per_active(star: DataFrame) -> DataFrame:
     return (star.filter(F.col("listing_neighbourhood").isNotNull())
             .groupBy("listing_neighbourhood")
             .agg(F.sum("revenue").alias("estimated_revenue"),
-                 count_if(ACTIVE).alias("n_active_listings"))
+                 count_if(active()).alias("n_active_listings"))
             .withColumn("revenue_per_active_listing",
                         ratio("estimated_revenue", "n_active_listings")))
 
@@ -62,7 +62,7 @@ def best_listing_type(star: DataFrame, k: int = 5) -> DataFrame:
            .limit(k))
     # k rows: a bounded broadcast
     top = F.broadcast(top.select("listing_neighbourhood", "revenue_per_active_listing"))
-    types = (star.filter(ACTIVE & F.col("listing_neighbourhood").isNotNull())
+    types = (star.filter(active() & F.col("listing_neighbourhood").isNotNull())
              .join(top.select("listing_neighbourhood"), "listing_neighbourhood", "left_semi")
              .groupBy("listing_neighbourhood", "property_type", "room_type", "accommodates")
              .agg(F.sum("stays").alias("total_stays")))

@@ -16,9 +16,21 @@ from rentmart.functions.expr import (avg_if, count_distinct_if, count_if, max_if
                                      min_if, ratio, ratio_decimal, ratio_pct, sum_if)
 from rentmart.operators.window import pct_change
 
-ACTIVE = F.col("has_availability")            # CASE has_availability WHEN TRUE
-INACTIVE = ~F.col("has_availability")         # CASE has_availability WHEN FALSE
-KNOWN = F.col("has_availability").isNotNull()  # WHEN FALSE THEN 1 WHEN TRUE THEN 1
+
+def active():
+    """CASE has_availability WHEN TRUE."""
+    return F.col("has_availability")
+
+
+def inactive():
+    """CASE has_availability WHEN FALSE."""
+    return ~F.col("has_availability")
+
+
+def known():
+    """CASE has_availability WHEN FALSE THEN 1 WHEN TRUE THEN 1."""
+    return F.col("has_availability").isNotNull()
+
 
 KPI_COLUMNS = ["active_listings_rate", "min_price_act", "max_price_act", "median_price_act",
                "number_of_distinct_hosts", "super_host_rate", "avg_rev_score_act",
@@ -29,17 +41,17 @@ KPI_COLUMNS = ["active_listings_rate", "min_price_act", "max_price_act", "median
 def listing_kpi_base(star: DataFrame, keys: list[str]) -> DataFrame:
     """Per (keys, year_month): the additive inputs of the 11 listing KPIs."""
     return star.groupBy(*keys, "year_month").agg(
-        count_if(ACTIVE).alias("n_active"),
-        count_if(INACTIVE).alias("n_inactive"),
-        count_if(KNOWN).alias("n_known"),
+        count_if(active()).alias("n_active"),
+        count_if(inactive()).alias("n_inactive"),
+        count_if(known()).alias("n_known"),
         F.count(F.lit(1)).alias("n_rows"),
-        min_if(ACTIVE, "price").alias("min_price_act"),
-        max_if(ACTIVE, "price").alias("max_price_act"),
-        median_if(ACTIVE, "price").alias("median_price_act"),
+        min_if(active(), "price").alias("min_price_act"),
+        max_if(active(), "price").alias("max_price_act"),
+        median_if(active(), "price").alias("median_price_act"),
         F.count_distinct("host_orig_id").alias("number_of_distinct_hosts"),
         count_distinct_if("host_is_superhost", "host_orig_id").alias("n_superhosts"),
-        avg_if(ACTIVE, "review_scores_rating").alias("avg_rev_score_act"),
-        sum_if(ACTIVE, "stays").alias("total_number_of_stays"),
+        avg_if(active(), "review_scores_rating").alias("avg_rev_score_act"),
+        sum_if(active(), "stays").alias("total_number_of_stays"),
         F.sum("revenue").alias("sum_revenue"),
     )
 
@@ -89,7 +101,7 @@ def dm_host_neighbourhood(star: DataFrame, exact: bool = False) -> DataFrame:
     g = star.groupBy("host_neighbourhood_lga", "year_month").agg(
         F.count_distinct("host_orig_id").alias("number_of_distinct_hosts"),
         F.sum("revenue").alias("estimated_revenue"),
-        sum_if(ACTIVE, "revenue").alias("__active_revenue"))
+        sum_if(active(), "revenue").alias("__active_revenue"))
     per_host = (ratio_decimal if exact else ratio)("__active_revenue", "number_of_distinct_hosts")
     return g.select("host_neighbourhood_lga", "year_month", "number_of_distinct_hosts",
                     "estimated_revenue", per_host.alias("estimated_revenue_per_host_distinct"))

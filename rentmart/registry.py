@@ -21,6 +21,7 @@ from rentmart.plans import adhoc as A
 from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
+from rentmart.plans.marts import active
 from rentmart.session import scratch_path
 from rentmart.sources import csv_feed, testmap
 from rentmart.streaming.incremental import IncrementalMarts
@@ -65,7 +66,6 @@ def _dims(spark, sf_dir) -> dict[str, DataFrame]:
     return D.build_dims(_staging(spark, sf_dir))
 
 
-ACTIVE = F.col("has_availability")
 
 
 # ---- sources / projections -------------------------------------------------------
@@ -250,29 +250,29 @@ def q_fact(spark, sf_dir):
 def q_count_if(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
     return s.groupBy("listing_neighbourhood", "year_month").agg(
-        X.count_if(ACTIVE).alias("n_active"), X.count_if(~ACTIVE).alias("n_inactive"),
-        X.count_if(ACTIVE.isNotNull()).alias("n_known"))
+        X.count_if(active()).alias("n_active"), X.count_if(~active()).alias("n_inactive"),
+        X.count_if(active().isNotNull()).alias("n_known"))
 
 
 @register("min_max_if")
 def q_min_max_if(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
     return s.groupBy("property_type", "year_month").agg(
-        X.min_if(ACTIVE, "price").alias("min_price_act"), X.max_if(ACTIVE, "price").alias("max_price_act"))
+        X.min_if(active(), "price").alias("min_price_act"), X.max_if(active(), "price").alias("max_price_act"))
 
 
 @register("median_if")
 def q_median_if(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
     return s.groupBy("listing_neighbourhood", "year_month").agg(
-        X.median_if(ACTIVE, "price").alias("median_price_act"))
+        X.median_if(active(), "price").alias("median_price_act"))
 
 
 @register("approx_median_if")
 def q_approx_median_if(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
     return s.groupBy("listing_neighbourhood", "year_month").agg(
-        X.approx_median_if(ACTIVE, "price").alias("approx_median_price_act"))
+        X.approx_median_if(active(), "price").alias("approx_median_price_act"))
 
 
 @register("count_distinct_if")
@@ -287,7 +287,7 @@ def q_count_distinct_if(spark, sf_dir):
 def q_rate_of_counts(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
     g = s.groupBy("listing_neighbourhood").agg(
-        X.count_if(ACTIVE).alias("__a"), X.count_if(ACTIVE.isNotNull()).alias("__k"),
+        X.count_if(active()).alias("__a"), X.count_if(active().isNotNull()).alias("__k"),
         X.count_distinct_if("host_is_superhost", "host_orig_id").alias("__s"),
         F.count_distinct("host_orig_id").alias("__h"))
     return g.select("listing_neighbourhood", X.ratio_pct("__a", "__k").alias("active_listings_rate"),
@@ -298,14 +298,14 @@ def q_rate_of_counts(spark, sf_dir):
 def q_sum_if(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
     return s.groupBy("room_type", "year_month").agg(
-        X.sum_if(ACTIVE, "stays").alias("stays_act"), X.sum_if(ACTIVE, "revenue").alias("revenue_act"),
+        X.sum_if(active(), "stays").alias("stays_act"), X.sum_if(active(), "revenue").alias("revenue_act"),
         F.sum("revenue").alias("revenue_all"))
 
 
 @register("lag_over_aggregate")
 def q_lag_over_aggregate(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
-    g = s.groupBy("listing_neighbourhood", "year_month").agg(X.count_if(ACTIVE).alias("n_active"))
+    g = s.groupBy("listing_neighbourhood", "year_month").agg(X.count_if(active()).alias("n_active"))
     w = Window.partitionBy("listing_neighbourhood").orderBy(F.col("year_month").asc_nulls_first())
     return g.withColumn("prev_n_active", F.lag("n_active").over(w))
 
@@ -313,7 +313,7 @@ def q_lag_over_aggregate(spark, sf_dir):
 @register("pct_change")
 def q_pct_change(spark, sf_dir):
     s = _mart_input(spark, sf_dir)
-    g = s.groupBy("property_type", "year_month").agg(X.count_if(~ACTIVE).alias("n_inactive"))
+    g = s.groupBy("property_type", "year_month").agg(X.count_if(~active()).alias("n_inactive"))
     w = Window.partitionBy("property_type").orderBy(F.col("year_month").asc_nulls_first())
     return g.withColumn("pct_change_inactive", pct_change("n_inactive", w))
 
