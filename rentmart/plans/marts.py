@@ -1,10 +1,10 @@
 """The three KPI marts (M1-M3).
 
 Input: the star view (``fact.mart_input`` or ``fact.star_view``) with columns
-``fact.MART_COLUMNS``. Each mart is one grouped aggregate (partial aggregation
-map-side, so a group holding a third of the rows only costs one partial buffer
-per task) followed by a window over the *aggregated* rows for the
-period-over-period changes; that window sorts one row per group and month.
+``fact.MART_COLUMNS``. Each mart is built from pre-aggregated rows (partial
+aggregation map-side, so a group holding a third of the rows only costs one
+partial buffer per task), and the period-over-period changes are a window over
+the *aggregated* rows: it sorts one row per group and month.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentmart.functions.expr import (avg_if, count_distinct_if, count_if, max_if, median_if,
-                                     min_if, ratio, ratio_decimal, ratio_pct, sum_if)
+from rentmart.functions.expr import count_if, max_if, min_if, ratio, ratio_decimal, ratio_pct, sum_if
+from rentmart.operators.joins import key_match
 from rentmart.operators.window import pct_change
 
 
@@ -39,21 +39,56 @@ KPI_COLUMNS = ["active_listings_rate", "min_price_act", "max_price_act", "median
 
 
 def listing_kpi_base(star: DataFrame, keys: list[str]) -> DataFrame:
-    """Per (keys, year_month): the additive inputs of the 11 listing KPIs."""
-    return star.groupBy(*keys, "year_month").agg(
+    """Per (keys, year_month): the inputs of the 11 listing KPIs.
+
+    Planned as two aggregations instead of one with two DISTINCT counts (which
+    Spark expands to three copies of every row, each carrying a percentile
+    buffer):
+
+    1. per (keys, month, host): counts, sums, price range and ``max(superhost)``;
+       a hot group is spread over its hosts, and partial aggregation runs
+       map-side;
+    2. per (keys, month): sums of those; the distinct hosts are now the non-NULL
+       host rows, the distinct superhosts those whose flag is set.
+
+    The exact median comes from a price histogram of the active rows,
+    ``percentile(price, 0.5, frequency)``, which holds at most one entry per
+    distinct price of a group, joined back on the group key (NULL-safe: a NULL
+    neighbourhood is a group of its own).
+    """
+    g = [*keys, "year_month"]
+    per_host = star.groupBy(*g, "host_orig_id").agg(
         count_if(active()).alias("n_active"),
         count_if(inactive()).alias("n_inactive"),
         count_if(known()).alias("n_known"),
         F.count(F.lit(1)).alias("n_rows"),
         min_if(active(), "price").alias("min_price_act"),
         max_if(active(), "price").alias("max_price_act"),
-        median_if(active(), "price").alias("median_price_act"),
-        F.count_distinct("host_orig_id").alias("number_of_distinct_hosts"),
-        count_distinct_if("host_is_superhost", "host_orig_id").alias("n_superhosts"),
-        avg_if(active(), "review_scores_rating").alias("avg_rev_score_act"),
+        sum_if(active(), "review_scores_rating").alias("sum_score_act"),
+        count_if(active() & F.col("review_scores_rating").isNotNull()).alias("n_score_act"),
         sum_if(active(), "stays").alias("total_number_of_stays"),
         F.sum("revenue").alias("sum_revenue"),
-    )
+        F.max("host_is_superhost").alias("is_superhost"))
+    base = per_host.groupBy(*g).agg(
+        F.sum("n_active").alias("n_active"),
+        F.sum("n_inactive").alias("n_inactive"),
+        F.sum("n_known").alias("n_known"),
+        F.sum("n_rows").alias("n_rows"),
+        F.min("min_price_act").alias("min_price_act"),
+        F.max("max_price_act").alias("max_price_act"),
+        F.count("host_orig_id").alias("number_of_distinct_hosts"),
+        count_if(F.col("is_superhost") & F.col("host_orig_id").isNotNull()).alias("n_superhosts"),
+        ratio(F.sum("sum_score_act"), F.sum("n_score_act")).alias("avg_rev_score_act"),
+        F.sum("total_number_of_stays").alias("total_number_of_stays"),
+        F.sum("sum_revenue").alias("sum_revenue"))
+    hist = star.filter(active()).groupBy(*g, "price").agg(F.count(F.lit(1)).alias("__n"))
+    med = hist.groupBy(*[F.col(c).alias(f"__m_{c}") for c in g]).agg(
+        F.percentile("price", 0.5, F.col("__n")).cast("double").alias("median_price_act"))
+    on = key_match([(F.col(c), F.col(f"__m_{c}")) for c in g], null_safe=True)
+    return (base.join(med, on, "left")
+            .select(*g, "n_active", "n_inactive", "n_known", "n_rows", "min_price_act", "max_price_act",
+                    "median_price_act", "number_of_distinct_hosts", "n_superhosts", "avg_rev_score_act",
+                    "total_number_of_stays", "sum_revenue"))
 
 
 def listing_kpis(base: DataFrame, keys: list[str], divisor: str = "active") -> DataFrame:
