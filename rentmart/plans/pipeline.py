@@ -70,6 +70,12 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
     return marts
 
 
+def register_catalog(spark: SparkSession, target: str, prefix: str = "") -> None:
+    """Expose every stored layer table as ``<prefix><layer>.<table>``."""
+    Warehouse(spark, target).register_catalog(
+        {"staging": STAGING_TABLES, "warehouse": WAREHOUSE_TABLES, "datamart": MART_TABLES}, prefix)
+
+
 def truncate_all(spark: SparkSession, target: str) -> None:
     """Empty every staging, warehouse and mart table, keeping schemas."""
     Warehouse(spark, target).truncate_all({"staging": STAGING_TABLES, "warehouse": WAREHOUSE_TABLES,

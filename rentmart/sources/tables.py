@@ -47,6 +47,26 @@ class Warehouse:
             df.createOrReplaceTempView(f"{layer}_{name}")
         return df
 
+    def register_catalog(self, tables: dict[str, list[str]], prefix: str = "") -> None:
+        """One catalog database per layer and an external table over each folder.
+
+        Dropping such a table later removes only its metadata, never the files.
+        """
+        for layer, names in tables.items():
+            db = f"{prefix}{layer}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+            for name in names:
+                if not self.exists(layer, name):
+                    continue
+                self.spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
+                self.spark.catalog.createTable(f"{db}.{name}", path=self.path(layer, name), source="parquet")
+                if self._partitioned(layer, name):
+                    self.spark.sql(f"ALTER TABLE `{db}`.`{name}` RECOVER PARTITIONS")
+
+    def _partitioned(self, layer: str, name: str) -> bool:
+        df = self.spark.read.parquet(self.path(layer, name))
+        return any("=" in f for f in df.inputFiles()[:1])
+
     def exists(self, layer: str, name: str) -> bool:
         try:
             self.spark.read.parquet(self.path(layer, name)).schema  # noqa: B018

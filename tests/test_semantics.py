@@ -125,6 +125,11 @@ def test_pipeline_idempotent_truncate_and_export(spark, built):
     exported = spark.read.option("header", True).csv(str(built["root"] / "out" / "dm_host_neighbourhood"))
     keys = [(r[0] or "", r[1]) for r in exported.collect()]
     assert keys == sorted(keys)
+    from rentmart.plans.pipeline import register_catalog
+    register_catalog(spark, target, prefix="fx_")
+    assert spark.sql("SELECT count(*) AS n FROM fx_warehouse.fact").first().n == 8
+    assert spark.table("fx_datamart.dm_host_neighbourhood").count() == len(first["dm_host_neighbourhood"])
+    assert spark.table("fx_warehouse.listings").count() == 9          # month-partitioned table
     truncate_all(spark, target)
     assert spark.read.parquet(f"{target}/warehouse/fact").count() == 0
     assert "host_neighf" in spark.read.parquet(f"{target}/warehouse/fact").columns
