@@ -52,6 +52,17 @@ def main():
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
+    # untimed warm-up on the smallest tables (JIT, class loading, first broadcast)
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir):
+        w_st = testmap.staging(spark, warm_dir)
+        w_li = D.load_listings(w_st["listings"])
+        w_lga = D.dim_lga(w_st["census_1"], w_st["census_2"], w_st["lga_code"])
+        w_star = FT.mart_input_direct(w_li, w_lga, D.dim_suburb(w_st["lga_suburb"], w_lga))
+        run(M.dm_listing_neighbourhood(w_star))
+        run(M.dm_host_neighbourhood(w_star))
+        run(D.dim_listing(w_li))
+
     root = scratch_path(spark, "bench")
     wh = Warehouse(spark, f"{root}/stored", register_views=False)
 
