@@ -38,7 +38,7 @@ KPI_COLUMNS = ["active_listings_rate", "min_price_act", "max_price_act", "median
                "total_number_of_stays", "average_estimated_revenue_per_active_listings"]
 
 
-def listing_kpi_base(star: DataFrame, keys: list[str]) -> DataFrame:
+def listing_kpi_base(star: DataFrame, keys: list[str], median: str = "exact") -> DataFrame:
     """Per (keys, year_month): the inputs of the 11 listing KPIs.
 
     Planned as two aggregations instead of one with two DISTINCT counts (which
@@ -54,8 +54,11 @@ def listing_kpi_base(star: DataFrame, keys: list[str]) -> DataFrame:
     The exact median comes from a price histogram of the active rows,
     ``percentile(price, 0.5, frequency)``, which holds at most one entry per
     distinct price of a group, joined back on the group key (NULL-safe: a NULL
-    neighbourhood is a group of its own).
+    neighbourhood is a group of its own). ``median="approx"`` uses
+    ``percentile_approx`` over the active rows instead, as the warehouse did.
     """
+    if median not in ("exact", "approx"):
+        raise ValueError("median must be 'exact' or 'approx'")
     g = [*keys, "year_month"]
     per_host = star.groupBy(*g, "host_orig_id").agg(
         count_if(active()).alias("n_active"),
@@ -81,9 +84,13 @@ def listing_kpi_base(star: DataFrame, keys: list[str]) -> DataFrame:
         ratio(F.sum("sum_score_act"), F.sum("n_score_act")).alias("avg_rev_score_act"),
         F.sum("total_number_of_stays").alias("total_number_of_stays"),
         F.sum("sum_revenue").alias("sum_revenue"))
-    hist = star.filter(active()).groupBy(*g, "price").agg(F.count(F.lit(1)).alias("__n"))
-    med = hist.groupBy(*[F.col(c).alias(f"__m_{c}") for c in g]).agg(
-        F.percentile("price", 0.5, F.col("__n")).cast("double").alias("median_price_act"))
+    if median == "exact":
+        hist = star.filter(active()).groupBy(*g, "price").agg(F.count(F.lit(1)).alias("__n"))
+        med = hist.groupBy(*[F.col(c).alias(f"__m_{c}") for c in g]).agg(
+            F.percentile("price", 0.5, F.col("__n")).cast("double").alias("median_price_act"))
+    else:
+        med = star.filter(active()).groupBy(*[F.col(c).alias(f"__m_{c}") for c in g]).agg(
+            F.percentile_approx("price", 0.5, 10000).cast("double").alias("median_price_act"))
     on = key_match([(F.col(c), F.col(f"__m_{c}")) for c in g], null_safe=True)
     return (base.join(med, on, "left")
             .select(*g, "n_active", "n_inactive", "n_known", "n_rows", "min_price_act", "max_price_act",
@@ -110,31 +117,37 @@ def listing_kpis(base: DataFrame, keys: list[str], divisor: str = "active") -> D
     )
 
 
-def dm_listing_neighbourhood(star: DataFrame) -> DataFrame:
+def dm_listing_neighbourhood(star: DataFrame, median: str = "exact") -> DataFrame:
     """11 KPIs per listing neighbourhood (LGA name) and month (M1)."""
     keys = ["listing_neighbourhood"]
-    return listing_kpis(listing_kpi_base(star, keys), keys, "active")
+    return listing_kpis(listing_kpi_base(star, keys, median), keys, "active")
 
 
 PROPERTY_KEYS = ["property_type", "room_type", "accommodates"]
 
 
-def dm_property_type(star: DataFrame, divisor: str = "active") -> DataFrame:
+def dm_property_type(star: DataFrame, divisor: str = "active", median: str = "exact") -> DataFrame:
     """11 KPIs per property type, room type, accommodates and month (M2).
 
     ``divisor="all"`` divides revenue by every joined row, as the reference's
     ``count(CASE .. THEN 1 ELSE 0 END)`` does; the default divides by active rows.
     """
-    return listing_kpis(listing_kpi_base(star, PROPERTY_KEYS), PROPERTY_KEYS, divisor)
+    return listing_kpis(listing_kpi_base(star, PROPERTY_KEYS, median), PROPERTY_KEYS, divisor)
 
 
-def dm_host_neighbourhood(star: DataFrame, exact: bool = False) -> DataFrame:
+def dm_host_neighbourhood(star: DataFrame, exact: bool = False, distinct: str = "exact") -> DataFrame:
     """Distinct hosts, revenue and active revenue per distinct host by host LGA and month (M3).
 
     ``exact=True`` gives the per-host figure as decimal(38,6), the exported form.
+    ``distinct="approx"`` counts hosts with ``approx_count_distinct`` (HyperLogLog++,
+    fixed-size sketch per group) instead of the exact two-phase distinct count.
     """
+    if distinct not in ("exact", "approx"):
+        raise ValueError("distinct must be 'exact' or 'approx'")
+    hosts = (F.count_distinct("host_orig_id") if distinct == "exact"
+             else F.approx_count_distinct("host_orig_id", 0.01))
     g = star.groupBy("host_neighbourhood_lga", "year_month").agg(
-        F.count_distinct("host_orig_id").alias("number_of_distinct_hosts"),
+        hosts.alias("number_of_distinct_hosts"),
         F.sum("revenue").alias("estimated_revenue"),
         sum_if(active(), "revenue").alias("__active_revenue"))
     per_host = (ratio_decimal if exact else ratio)("__active_revenue", "number_of_distinct_hosts")

@@ -32,6 +32,8 @@ def build_session(master: str | None = None, cpus: int | None = None,
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of numbered dimensions are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -133,3 +133,23 @@ def test_pipeline_idempotent_truncate_and_export(spark, built):
     truncate_all(spark, target)
     assert spark.read.parquet(f"{target}/warehouse/fact").count() == 0
     assert "host_neighf" in spark.read.parquet(f"{target}/warehouse/fact").columns
+
+
+def test_approx_median_option(built):
+    star = FT.mart_input(built["wide"])
+    exact = {(r.listing_neighbourhood, r.year_month): r.median_price_act
+             for r in M.dm_listing_neighbourhood(star).collect()}
+    approx = {(r.listing_neighbourhood, r.year_month): r.median_price_act
+              for r in M.dm_listing_neighbourhood(star, median="approx").collect()}
+    assert exact.keys() == approx.keys()
+    # one active price per group here: both forms agree
+    assert all(exact[k] == approx[k] for k in exact if exact[k] is not None and k[1] == JAN)
+
+
+def test_approx_distinct_option(built):
+    star = FT.mart_input(built["wide"])
+    exact = rows(M.dm_host_neighbourhood(star).select("host_neighbourhood_lga", "year_month",
+                                                      "number_of_distinct_hosts"))
+    approx = rows(M.dm_host_neighbourhood(star, distinct="approx").select(
+        "host_neighbourhood_lga", "year_month", "number_of_distinct_hosts"))
+    assert exact == approx          # tiny groups: the sketch is exact
