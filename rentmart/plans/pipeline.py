@@ -24,8 +24,8 @@ MART_TABLES = ["dm_listing_neighbourhood", "dm_property_type", "dm_host_neighbou
 
 
 def build_marts(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
-                property_divisor: str = "active") -> dict[str, DataFrame]:
-    star = FT.mart_input_direct(listings, dim_lga, dim_suburb)
+                property_divisor: str = "active", null_safe: bool = False) -> dict[str, DataFrame]:
+    star = FT.mart_input_direct(listings, dim_lga, dim_suburb, null_safe=null_safe)
     return {
         "dm_listing_neighbourhood": M.dm_listing_neighbourhood(star),
         "dm_property_type": M.dm_property_type(star, property_divisor),
@@ -35,7 +35,8 @@ def build_marts(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
 
 def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | None = None,
                  staging: dict[str, DataFrame] | None = None, export_dir: str | None = None,
-                 property_divisor: str = "active", key_method: str = "range") -> dict[str, DataFrame]:
+                 property_divisor: str = "active", key_method: str = "range",
+                 null_safe: bool = False) -> dict[str, DataFrame]:
     """Rebuild every layer under ``target``; returns the stored marts.
 
     Inputs are either CSV feed folders (``feed_dirs``) or typed staging frames.
@@ -60,10 +61,10 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
     dims = {"dim_lga": lga, "dim_host": host, "dim_listing": listing, "dim_date": date,
             "dim_suburb": suburb}
     # D8
-    wh.write(FT.build_fact(listings, dims), "warehouse", "fact", ["date_id"])
+    wh.write(FT.build_fact(listings, dims, null_safe=null_safe), "warehouse", "fact", ["date_id"])
     # M1-M3
     marts = {name: wh.write(df, "datamart", name)
-             for name, df in build_marts(listings, lga, suburb, property_divisor).items()}
+             for name, df in build_marts(listings, lga, suburb, property_divisor, null_safe).items()}
     if export_dir:
         for name, df in marts.items():
             export_csv(df, M.MART_ORDER[name], f"{export_dir.rstrip('/')}/{name}")

@@ -100,6 +100,14 @@ def test_star_path_equals_direct_path(built):
     assert rows(star) == rows(direct.select(*star.columns))
 
 
+def test_star_path_equals_direct_path_null_safe(built):
+    d = built["dims"]
+    fact = FT.build_fact(d["listings"], d, null_safe=True)
+    star = FT.star_view(fact, d)
+    direct = FT.mart_input_direct(d["listings"], d["dim_lga"], d["dim_suburb"], null_safe=True)
+    assert rows(star) == rows(direct.select(*star.columns))
+
+
 def test_keys_and_foreign_keys(built):
     d = built["dims"]
     u = rows(Q.check_unique(d["dim_suburb"], F.lower("suburb_name"), "dim_suburb", "lower"))
