@@ -32,11 +32,11 @@ def dim_lga(census_1: DataFrame, census_2: DataFrame, lga_code: DataFrame) -> Da
         "median_tot_hhd_inc_weekly", "average_household_size")
 
 
-def dim_suburb(lga_suburb: DataFrame, dim_lga_df: DataFrame, key_method: str = "window") -> DataFrame:
+def dim_suburb(lga_suburb: DataFrame, dim_lga_df: DataFrame, key_method: str = "range") -> DataFrame:
     """Suburbs with their LGA, matched ignoring case, plus the unknown member.
 
-    The suburb list is a reference table (thousands of rows), so the numbering
-    defaults to the global window; ``key_method="range"`` scales it out.
+    The suburb list is a reference table, but nothing bounds its size, so it is
+    numbered by range partitions like the large dimensions.
     """
     lga = dim_lga_df.select(F.col("lga_code_2016").alias("lga_code"),
                             F.col("lga_name").alias("__lga_name"),

@@ -92,13 +92,19 @@ def append_member(df: DataFrame, row: tuple, schema: str) -> DataFrame:
     return df.unionByName(df.sparkSession.createDataFrame([row], schema))
 
 
-def export_csv(df: DataFrame, order: list[str], path: str, single_file: bool = True) -> None:
+SINGLE_FILE_MAX_ROWS = 5_000_000
+
+
+def export_csv(df: DataFrame, order: list[str], path: str, single_file: bool | str = "auto") -> None:
     """Ordered CSV export of a mart.
 
-    ``single_file`` sorts inside one task: right for a mart, whose size is
-    groups x months. Otherwise the rows are range partitioned and sorted, and the
-    part files are in order by their names.
+    One sorted file (sorted inside one task) when the mart has at most
+    ``SINGLE_FILE_MAX_ROWS`` rows (checked with ``limit(n + 1).count()`` under
+    ``"auto"``); otherwise the rows are range partitioned and sorted, and the part
+    files are in order by their names.
     """
+    if single_file == "auto":
+        single_file = df.limit(SINGLE_FILE_MAX_ROWS + 1).count() <= SINGLE_FILE_MAX_ROWS
     cols = [F.col(c).asc_nulls_first() for c in order]
     out = df.coalesce(1).sortWithinPartitions(*cols) if single_file else df.orderBy(*cols)
     out.write.mode("overwrite").option("header", True).csv(path)
