@@ -9,7 +9,11 @@ the current step.
 ``CREATE OR REPLACE TABLE .. AS SELECT`` becomes an overwrite of the folder (S6).
 A table that the warehouse rebuilt from itself (S7) is produced by one lazy
 DataFrame written once. Partitioned tables are overwritten per partition
-(``partitionOverwriteMode=dynamic``), which the incremental refresh uses.
+(``partitionOverwriteMode=dynamic``), which the incremental refresh uses, and
+are written after a ``rebalance`` on the partition columns: without it every
+task writes a file into every month it holds (tasks x months small files); with
+it AQE keeps a month in few tasks and still splits a month that holds a large
+share of the rows.
 """
 
 from __future__ import annotations
@@ -34,6 +38,10 @@ class Warehouse:
     def write(self, df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None,
               mode: str = "overwrite") -> DataFrame:
         """CTAS-replace (S6): write the frame, then return the stored table."""
+        if partition_by:
+            # one shuffle by the partition columns so each task writes few folders;
+            # AQE splits a hot partition value over several tasks and merges small ones
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode(mode)
         if partition_by:
             # replace only the partitions present in df
