@@ -9,6 +9,9 @@ and listings with ``year_month``; ``dim_lga``, ``dim_host``, ``dim_listing``,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rentmart.plans import dims as D
@@ -23,6 +26,15 @@ WAREHOUSE_TABLES = ["census_1", "census_2", "lga_code", "lga_suburb", "listings"
 MART_TABLES = ["dm_listing_neighbourhood", "dm_property_type", "dm_host_neighbourhood"]
 
 
+def _together(steps: dict[str, Callable[[], DataFrame]], workers: int) -> dict[str, DataFrame]:
+    """Run independent steps as concurrent Spark jobs (one driver thread each)."""
+    if workers <= 1:
+        return {name: fn() for name, fn in steps.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in steps.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def build_marts(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
                 property_divisor: str = "active", null_safe: bool = False) -> dict[str, DataFrame]:
     star = FT.mart_input_direct(listings, dim_lga, dim_suburb, null_safe=null_safe)
@@ -36,10 +48,12 @@ def build_marts(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
 def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | None = None,
                  staging: dict[str, DataFrame] | None = None, export_dir: str | None = None,
                  property_divisor: str = "active", key_method: str = "range",
-                 null_safe: bool = False) -> dict[str, DataFrame]:
+                 null_safe: bool = False, concurrency: int = 4) -> dict[str, DataFrame]:
     """Rebuild every layer under ``target``; returns the stored marts.
 
     Inputs are either CSV feed folders (``feed_dirs``) or typed staging frames.
+    Independent steps (the four dimensions; the fact and the three marts) are
+    submitted as concurrent jobs, up to ``concurrency`` at a time.
     """
     if (feed_dirs is None) == (staging is None):
         raise ValueError("give exactly one of feed_dirs or staging")
@@ -47,24 +61,29 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
     src = csv_feed.build_staging(spark, feed_dirs) if feed_dirs is not None else staging
 
     # Staging layer
-    st = {name: wh.write(src[name], "staging", name) for name in STAGING_TABLES}
+    st = _together({name: (lambda n=name: wh.write(src[n], "staging", n)) for name in STAGING_TABLES},
+                   concurrency)
     # Warehouse copies, listings with year_month (partitioned by month)
-    w = {name: wh.write(st[name], "warehouse", name) for name in STAGING_TABLES if name != "listings"}
-    listings = wh.write(D.load_listings(st["listings"]), "warehouse", "listings", ["year_month"])
-    # D3, D5-D7
-    lga = wh.write(D.dim_lga(w["census_1"], w["census_2"], w["lga_code"]), "warehouse", "dim_lga")
-    host = wh.write(D.dim_host(listings, key_method), "warehouse", "dim_host")
-    listing = wh.write(D.dim_listing(listings, key_method), "warehouse", "dim_listing")
-    date = wh.write(D.dim_date(listings), "warehouse", "dim_date")
-    # D4
-    suburb = wh.write(D.dim_suburb(w["lga_suburb"], lga), "warehouse", "dim_suburb")
-    dims = {"dim_lga": lga, "dim_host": host, "dim_listing": listing, "dim_date": date,
-            "dim_suburb": suburb}
-    # D8
-    wh.write(FT.build_fact(listings, dims, null_safe=null_safe), "warehouse", "fact", ["date_id"])
-    # M1-M3
-    marts = {name: wh.write(df, "datamart", name)
-             for name, df in build_marts(listings, lga, suburb, property_divisor, null_safe).items()}
+    copies = {name: (lambda n=name: wh.write(st[n], "warehouse", n)) for name in STAGING_TABLES if name != "listings"}
+    copies["listings"] = lambda: wh.write(D.load_listings(st["listings"]), "warehouse", "listings", ["year_month"])
+    w = _together(copies, concurrency)
+    listings = w["listings"]
+    # D3, D5-D7 (independent), then D4 (needs dim_lga)
+    dims = _together({
+        "dim_lga": lambda: wh.write(D.dim_lga(w["census_1"], w["census_2"], w["lga_code"]), "warehouse", "dim_lga"),
+        "dim_host": lambda: wh.write(D.dim_host(listings, key_method), "warehouse", "dim_host"),
+        "dim_listing": lambda: wh.write(D.dim_listing(listings, key_method), "warehouse", "dim_listing"),
+        "dim_date": lambda: wh.write(D.dim_date(listings), "warehouse", "dim_date"),
+    }, concurrency)
+    lga = dims["dim_lga"]
+    dims["dim_suburb"] = suburb = wh.write(D.dim_suburb(w["lga_suburb"], lga), "warehouse", "dim_suburb")
+    # D8 and M1-M3 (the marts read the listings and the two reference dimensions only)
+    steps = {"fact": lambda: wh.write(FT.build_fact(listings, dims, null_safe=null_safe), "warehouse", "fact",
+                                      ["date_id"])}
+    for name, df in build_marts(listings, lga, suburb, property_divisor, null_safe).items():
+        steps[name] = lambda n=name, d=df: wh.write(d, "datamart", n)
+    done = _together(steps, concurrency)
+    marts = {name: done[name] for name in MART_TABLES}
     if export_dir:
         for name, df in marts.items():
             export_csv(df, M.MART_ORDER[name], f"{export_dir.rstrip('/')}/{name}")
