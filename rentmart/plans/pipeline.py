@@ -9,14 +9,12 @@ and listings with ``year_month``; ``dim_lga``, ``dim_host``, ``dim_listing``,
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 
 from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
+from rentmart.plans.concurrent import run_together
 from rentmart.sources import csv_feed
 from rentmart.sources.tables import Warehouse, export_csv
 
@@ -26,15 +24,6 @@ WAREHOUSE_TABLES = ["census_1", "census_2", "lga_code", "lga_suburb", "listings"
 MART_TABLES = ["dm_listing_neighbourhood", "dm_property_type", "dm_host_neighbourhood"]
 
 
-def _together(steps: dict[str, Callable[[], DataFrame]], workers: int) -> dict[str, DataFrame]:
-    """Run independent steps as concurrent Spark jobs (one driver thread each)."""
-    if workers <= 1:
-        return {name: fn() for name, fn in steps.items()}
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {name: pool.submit(fn) for name, fn in steps.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def build_marts(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
                 property_divisor: str = "active", null_safe: bool = False) -> dict[str, DataFrame]:
     star = FT.mart_input_direct(listings, dim_lga, dim_suburb, null_safe=null_safe)
@@ -61,15 +50,15 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
     src = csv_feed.build_staging(spark, feed_dirs) if feed_dirs is not None else staging
 
     # Staging layer
-    st = _together({name: (lambda n=name: wh.write(src[n], "staging", n)) for name in STAGING_TABLES},
+    st = run_together({name: (lambda n=name: wh.write(src[n], "staging", n)) for name in STAGING_TABLES},
                    concurrency)
     # Warehouse copies, listings with year_month (partitioned by month)
     copies = {name: (lambda n=name: wh.write(st[n], "warehouse", n)) for name in STAGING_TABLES if name != "listings"}
     copies["listings"] = lambda: wh.write(D.load_listings(st["listings"]), "warehouse", "listings", ["year_month"])
-    w = _together(copies, concurrency)
+    w = run_together(copies, concurrency)
     listings = w["listings"]
     # D3, D5-D7 (independent), then D4 (needs dim_lga)
-    dims = _together({
+    dims = run_together({
         "dim_lga": lambda: wh.write(D.dim_lga(w["census_1"], w["census_2"], w["lga_code"]), "warehouse", "dim_lga"),
         "dim_host": lambda: wh.write(D.dim_host(listings, key_method), "warehouse", "dim_host"),
         "dim_listing": lambda: wh.write(D.dim_listing(listings, key_method), "warehouse", "dim_listing"),
@@ -82,7 +71,7 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
                                       ["date_id"])}
     for name, df in build_marts(listings, lga, suburb, property_divisor, null_safe).items():
         steps[name] = lambda n=name, d=df: wh.write(d, "datamart", n)
-    done = _together(steps, concurrency)
+    done = run_together(steps, concurrency)
     marts = {name: done[name] for name in MART_TABLES}
     if export_dir:
         for name, df in marts.items():
