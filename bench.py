@@ -29,6 +29,7 @@ from rentmart.plans import adhoc as A  # noqa: E402
 from rentmart.plans import dims as D  # noqa: E402
 from rentmart.plans import fact as FT  # noqa: E402
 from rentmart.plans import marts as M  # noqa: E402
+from rentmart.plans.concurrent import run_together  # noqa: E402
 from rentmart.plans.pipeline import run_pipeline  # noqa: E402
 from rentmart.session import build_session, scratch_path  # noqa: E402
 from rentmart.sources import csv_feed, testmap  # noqa: E402
@@ -75,9 +76,10 @@ def main():
     suburb = D.dim_suburb(st["lga_suburb"], lga)
 
     def build_dims():
+        # as the rebuild does it: independent dimensions as concurrent jobs
         out = {"dim_lga": lga, "dim_suburb": suburb, "dim_host": D.dim_host(listings),
                "dim_listing": D.dim_listing(listings), "dim_date": D.dim_date(listings)}
-        return {n: wh.write(df, "warehouse", n) for n, df in out.items()}
+        return run_together({n: (lambda n=n, df=df: wh.write(df, "warehouse", n)) for n, df in out.items()}, 4)
 
     dims = timed("dims", build_dims)
     t = D.listing_tuples(listings)
