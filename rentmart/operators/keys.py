@@ -34,7 +34,7 @@ def dense_surrogate_key(df: DataFrame, order_cols: list[str], id_col: str,
 
     ``order_cols`` should make rows unique (the dimensions order by their whole
     tuple) so the ids are reproducible. ``method="window"`` is the single-task
-    global window, kept for bounded dimensions (months, suburbs) and for checks.
+    global window, kept for the month dimension (bounded by the calendar) and checks.
     ``start`` shifts the numbering (used to append new members after ``max(id)``).
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
