@@ -56,6 +56,16 @@ def test_two_level_kpi_base_equals_naive(spark, data):
     assert _round(rows(planned)) == _round(rows(naive.select(*planned.columns)))
 
 
+@SETTINGS
+@given(st.lists(row, min_size=1, max_size=60))
+def test_approx_distinct_base_is_exact_on_small_groups(spark, data):
+    # HyperLogLog++ is exact far below its sparse-register capacity
+    star = spark.createDataFrame(data, SCHEMA)
+    approx = M.listing_kpi_base(star, ["g"], distinct="approx")
+    naive = naive_base(star, ["g"])
+    assert _round(rows(approx)) == _round(rows(naive.select(*approx.columns)))
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
                           st.one_of(st.none(), st.sampled_from(["x", "y", "z"])),
