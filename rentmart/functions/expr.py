@@ -39,6 +39,12 @@ def month_text(d) -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
+def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
+    """Text to DATE with a pattern (P6); ``parse_date(month_text(d), "yyyy-MM")`` is
+    the warehouse's two-step month floor, which ``month_floor`` does in one."""
+    return F.to_date(_c(c), fmt)
+
+
 def substr_prefix(c, n: int = 3) -> Column:
     """Drop an n-character prefix: substr(c, n + 1)."""
     return F.substring(_c(c), n + 1, 1 << 30)

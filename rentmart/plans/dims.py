@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rentmart.functions.expr import UNKNOWN, UNKNOWN_SUBURB_ID, month_floor, substr_prefix
 from rentmart.operators.keys import dense_surrogate_key
+from rentmart.sources.tables import append_member
 
 HOST_TUPLE = ["host_orig_id", "host_name", "host_since", "host_is_superhost"]
 LISTING_TUPLE = ["list_orig_id", "property_type", "room_type", "accommodates",
@@ -45,10 +46,9 @@ def dim_suburb(lga_suburb: DataFrame, dim_lga_df: DataFrame, key_method: str = "
          .join(lga, F.col("__sub_key") == F.col("__lga_key"), "left")
          .select("suburb_name", "lga_code", F.col("__lga_name").alias("lga_name")))
     keyed = dense_surrogate_key(j, ["suburb_name", "lga_code", "lga_name"], "suburb_id", method=key_method)
-    unknown = keyed.sparkSession.createDataFrame(
-        [(UNKNOWN_SUBURB_ID, UNKNOWN, UNKNOWN, UNKNOWN)],
-        "suburb_id bigint, suburb_name string, lga_code string, lga_name string")
-    return keyed.select("suburb_id", "suburb_name", "lga_code", "lga_name").unionByName(unknown)
+    return append_member(keyed.select("suburb_id", "suburb_name", "lga_code", "lga_name"),
+                         (UNKNOWN_SUBURB_ID, UNKNOWN, UNKNOWN, UNKNOWN),
+                         "suburb_id bigint, suburb_name string, lga_code string, lga_name string")
 
 
 def host_tuples(listings: DataFrame) -> DataFrame:

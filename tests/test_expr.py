@@ -23,6 +23,12 @@ def test_month_floor_text_and_prefix(spark):
     assert r.m == dt.date(2020, 10, 1) and r.t == "2020-10" and r.c == "10050"
 
 
+def test_parse_date_round_trip_equals_month_floor(spark):
+    df = spark.createDataFrame([(dt.date(2021, 4, 30),), (dt.date(1999, 12, 1),)], "d date")
+    out = df.select((X.parse_date(X.month_text("d"), "yyyy-MM") == X.month_floor("d")).alias("same")).collect()
+    assert all(r.same for r in out)
+
+
 def test_ratio_forms(spark):
     df = spark.createDataFrame([(1, 3, 715890, 270, 0)], "a long, b long, r long, h long, z long")
     r = df.select(X.ratio_pct("a", "b").alias("pct"), X.ratio("a", "z").alias("div0"),
