@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import count_if, ratio, ratio_pct
+from rentmart.operators.joins import broadcast_if_small
 from rentmart.plans.marts import active
 
 
@@ -46,7 +47,7 @@ def best_worst_population(star: DataFrame, dim_lga: DataFrame, months: int = 12)
     worst = (per.orderBy(F.asc("revenue_per_active_listing"), F.asc("listing_neighbourhood"))
              .limit(1).withColumn("performance", F.lit("worst")))
     both = best.unionByName(worst)
-    lga = dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"), *PROFILE)
+    lga = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"), *PROFILE))
     return (both.join(lga, "listing_neighbourhood", "left")
             .select("performance", "listing_neighbourhood", "revenue_per_active_listing",
                     "n_active_listings", *PROFILE,
@@ -106,8 +107,8 @@ def mortgage_coverage(star: DataFrame, dim_lga: DataFrame, months: int = 12) ->
     recent = (hosts.filter(last_months(star, months) & F.col("listing_neighbourhood").isNotNull())
               .groupBy("host_orig_id", "listing_neighbourhood")
               .agg(F.sum("revenue").alias("revenue_12m")))
-    lga = dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"),
-                         (F.col("median_mortgage_repay_monthly") * 12).alias("annual_mortgage"))
+    lga = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"),
+                                            (F.col("median_mortgage_repay_monthly") * 12).alias("annual_mortgage")))
     per = (recent.join(single, "host_orig_id", "left_semi")
            .join(lga, "listing_neighbourhood", "left"))
     covers = F.col("revenue_12m") >= F.col("annual_mortgage")
