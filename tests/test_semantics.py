@@ -161,3 +161,15 @@ def test_approx_distinct_option(built):
     approx = rows(M.dm_host_neighbourhood(star, distinct="approx").select(
         "host_neighbourhood_lga", "year_month", "number_of_distinct_hosts"))
     assert exact == approx          # tiny groups: the sketch is exact
+
+
+def test_cli_rebuild_and_refresh(spark, built, tmp_path):
+    from rentmart.__main__ import main
+    feeds = str(built["root"] / "feeds")
+    assert main(["rebuild", "--feeds", feeds, "--target", str(tmp_path / "wh"), "--catalog-prefix", "cli_"]) == 0
+    assert spark.table("cli_datamart.dm_host_neighbourhood").count() > 0
+    # the refresh command watches the same listings folder: the first run takes every file
+    assert main(["refresh", "--feeds", feeds, "--target", str(tmp_path / "inc")]) == 0
+    got = spark.read.parquet(str(tmp_path / "inc" / "datamart" / "dm_listing_neighbourhood"))
+    want = spark.table("cli_datamart.dm_listing_neighbourhood")
+    assert rows(got.select(*want.columns)) == rows(want)
