@@ -25,6 +25,9 @@ from rentmart.functions.expr import UNKNOWN, UNKNOWN_SUBURB_ID, revenue, stays
 from rentmart.operators.joins import (broadcast_if_small, case_insensitive_left_join,
                                       composite_left_join, left_join)
 
+# columns every fact / mart row reads anyway: they spread NULL-key rows in shuffle joins
+SPREAD_BY = ["listing_id", "host_id", "scraped_date", "price"]
+
 FACT_COLUMNS = ["listing_idf", "date_id", "host_idf", "host_neighf", "listing_neigh_idf",
                 "price", "stays", "revenue", "review_scores_rating"]
 
@@ -59,10 +62,10 @@ def build_wide_fact(listings: DataFrame, dims: dict[str, DataFrame], price_cap:
     dd = dims["dim_date"].select("date_id", F.col("year_month").alias("dd_year_month"))
 
     j = composite_left_join(f, dl, [("listing_id", "list_orig_id")] + [(c, f"dl_{c}") for c in attrs],
-                            null_safe)
+                            null_safe, spread_by=SPREAD_BY)
     j = composite_left_join(j, dh, [("host_id", "host_orig_id")] + [(c, f"dh_{c}") for c in host_attrs],
-                            null_safe)
-    j = case_insensitive_left_join(j, ds, "host_neighbourhood", "ds_suburb_name")
+                            null_safe, spread_by=SPREAD_BY)
+    j = case_insensitive_left_join(j, ds, "host_neighbourhood", "ds_suburb_name", spread_by=SPREAD_BY)
     j = left_join(j, dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"))
     # months of the data: bounded by the calendar
     j = left_join(j, dd, F.col("dd_year_month") == F.col("year_month"), bounded=True)
@@ -126,7 +129,7 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
                                               F.col("lga_name").alias("ds_lga_name")))
     dg = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("dg_lga_name")))
     j = case_insensitive_left_join(listings.filter(F.col("price") < price_cap), ds,
-                                   "host_neighbourhood", "ds_suburb_name")
+                                   "host_neighbourhood", "ds_suburb_name", spread_by=SPREAD_BY)
     j = left_join(j, dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"))
     return j.select(
         "year_month",

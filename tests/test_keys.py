@@ -33,3 +33,20 @@ def test_start_offset(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "s string")
     out = dense_surrogate_key(df, ["s"], "id", method="range", start=101)
     assert rows(out, ["s", "id"]) == [("a", 101), ("b", 102), ("c", 103)]
+
+
+def test_null_key_spreading_keeps_the_join_result(spark):
+    from rentmart.operators.joins import composite_left_join
+    # a third of the left rows carry a NULL key part
+    left = spark.range(0, 3000).select(
+        (F.col("id") % 40).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("b"),
+        F.col("id").alias("v"))
+    dim = spark.range(0, 280).select((F.col("id") % 40).alias("da"), (F.col("id") % 7).alias("db"),
+                                     F.col("id").alias("dim_id")).dropDuplicates(["da", "db"])
+    pairs = [("a", "da"), ("b", "db")]
+    spread = composite_left_join(left, dim, pairs, spread_nulls=True)
+    plain = composite_left_join(left, dim, pairs, spread_nulls=False)
+    assert spread.columns == plain.columns
+    assert rows(spread) == rows(plain)
+    assert spread.filter(F.col("b").isNull() & F.col("dim_id").isNotNull()).count() == 0
