@@ -1,7 +1,7 @@
 """Command line: the full rebuild, one incremental refresh, mart exports.
 
     python -m rentmart rebuild --feeds <root> --target <warehouse> [--export <dir>]
-    python -m rentmart refresh --feeds <root> --target <warehouse>
+    python -m rentmart refresh --feeds <root> --target <warehouse> [--export <dir>]
     python -m rentmart truncate --target <warehouse>
 
 ``--feeds`` is a folder with one sub-folder per feed: ``listings``, ``census_1``,
@@ -16,10 +16,11 @@ from __future__ import annotations
 import argparse
 import sys
 
+from rentmart.plans.marts import MART_ORDER
 from rentmart.plans.pipeline import STAGING_TABLES, register_catalog, run_pipeline, truncate_all
 from rentmart.session import build_session
 from rentmart.sources import csv_feed
-from rentmart.sources.tables import Warehouse
+from rentmart.sources.tables import Warehouse, export_csv
 from rentmart.streaming.incremental import IncrementalMarts
 
 
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     rf = sub.add_parser("refresh", help="take new listing files once and refresh the touched months")
     rf.add_argument("--feeds", required=True)
     rf.add_argument("--target", required=True)
+    rf.add_argument("--export", help="folder for the ordered mart CSV exports after the refresh")
     tr = sub.add_parser("truncate", help="empty every table, keeping schemas")
     tr.add_argument("--target", required=True)
     args = ap.parse_args(argv)
@@ -55,6 +57,9 @@ def main(argv: list[str] | None = None) -> int:
         if not Warehouse(spark, args.target).exists("warehouse", "dim_lga"):
             inc.bootstrap({n: csv_feed.read_feed(spark, p, n) for n, p in feeds.items() if n != "listings"})
         inc.run_once()
+        if args.export:
+            for name, order in MART_ORDER.items():
+                export_csv(inc.mart(name), order, f"{args.export.rstrip('/')}/{name}")
     elif args.cmd == "truncate":
         truncate_all(spark, args.target)
     return 0

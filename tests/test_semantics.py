@@ -169,7 +169,10 @@ def test_cli_rebuild_and_refresh(spark, built, tmp_path):
     assert main(["rebuild", "--feeds", feeds, "--target", str(tmp_path / "wh"), "--catalog-prefix", "cli_"]) == 0
     assert spark.table("cli_datamart.dm_host_neighbourhood").count() > 0
     # the refresh command watches the same listings folder: the first run takes every file
-    assert main(["refresh", "--feeds", feeds, "--target", str(tmp_path / "inc")]) == 0
+    assert main(["refresh", "--feeds", feeds, "--target", str(tmp_path / "inc"),
+                 "--export", str(tmp_path / "out")]) == 0
+    exported = spark.read.option("header", True).csv(str(tmp_path / "out" / "dm_property_type"))
+    assert exported.count() == spark.table("cli_datamart.dm_property_type").count()
     got = spark.read.parquet(str(tmp_path / "inc" / "datamart" / "dm_listing_neighbourhood"))
     want = spark.table("cli_datamart.dm_listing_neighbourhood")
     assert rows(got.select(*want.columns)) == rows(want)
