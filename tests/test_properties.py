@@ -75,3 +75,26 @@ def test_range_keys_equal_window(spark, data):
     r = dense_surrogate_key(df, ["a", "b", "c"], "id", method="range", num_ranges=5)
     w = dense_surrogate_key(df, ["a", "b", "c"], "id", method="window")
     assert rows(r) == rows(w)
+
+
+def test_hot_group_and_host_third_of_rows(spark):
+    """One group and one host hold a third of all rows; the planned KPIs equal the naive ones."""
+    n = 3000
+    base = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 17).cast("string")))
+        .alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(dt.date(2020, 1, 1))).otherwise(F.lit(dt.date(2020, 2, 1)))
+        .alias("year_month"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 211).cast("long").alias("host_orig_id"),
+        (F.col("id") % 5 == 0).alias("host_is_superhost"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 4 != 0).alias("has_availability"),
+        (F.col("id") % 1999).alias("price"),
+        (F.col("id") % 31).alias("stays"),
+        (F.col("id") * 7 % 5000).alias("revenue"),
+        F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 101).cast("long")
+        .alias("review_scores_rating"))
+    planned = M.listing_kpi_base(base, ["g"])
+    naive = naive_base(base, ["g"])
+    assert _round(rows(planned)) == _round(rows(naive.select(*planned.columns)))
+    hot = planned.filter("g = 'hot'").collect()
+    assert len(hot) == 2 and all(r.number_of_distinct_hosts == 1 for r in hot)
