@@ -76,7 +76,7 @@ def ratio(num, den) -> Column:
 
 
 def ratio_decimal(num, den, scale: int = 6) -> Column:
-    """Exact quotient rounded to ``scale`` places, decimal(38, scale) (golden export form)."""
+    """Exact quotient rounded to ``scale`` places, decimal(38, scale) (the exported form)."""
     q = _c(num).cast("decimal(38,0)") / F.nullif(_c(den), F.lit(0)).cast("decimal(38,0)")
     return F.round(q, scale).cast(f"decimal(38,{scale})")
 

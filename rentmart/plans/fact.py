@@ -1,6 +1,6 @@
 """The fact table (D8) and the star view the marts read.
 
-``build_wide_fact`` performs the reference's five left joins once and keeps, next
+``build_wide_fact`` performs the warehouse's five left joins once and keeps, next
 to the fact's ids and measures, the dimension attributes those joins already
 bring along. ``fact_table`` projects the fact proper (ids + measures only);
 ``mart_input`` hands the attributes to the marts, so building all three marts

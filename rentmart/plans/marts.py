@@ -160,7 +160,7 @@ def dm_property_type(star: DataFrame, divisor: str = "active", median: str = "ex
                      distinct: str = "exact") -> DataFrame:
     """11 KPIs per property type, room type, accommodates and month (M2).
 
-    ``divisor="all"`` divides revenue by every joined row, as the reference's
+    ``divisor="all"`` divides revenue by every joined row, as the warehouse's
     ``count(CASE .. THEN 1 ELSE 0 END)`` does; the default divides by active rows.
     """
     return listing_kpis(listing_kpi_base(star, PROPERTY_KEYS, median, distinct), PROPERTY_KEYS, divisor)
