@@ -39,7 +39,8 @@ def revenue_per_active(star: DataFrame) -> DataFrame:
 
 def best_worst_population(star: DataFrame, dim_lga: DataFrame, months: int = 12) -> DataFrame:
     """Best and worst neighbourhood by revenue per active listing over the last
-    ``months`` months, each with its census profile (Q1)."""
+    ``months`` months, each with its census profile, plus a ``best_minus_worst``
+    row with the difference of every metric (Q1)."""
     per = revenue_per_active(star.filter(last_months(star, months))) \
         .filter(F.col("revenue_per_active_listing").isNotNull())
     best = (per.orderBy(F.desc("revenue_per_active_listing"), F.asc("listing_neighbourhood"))
@@ -48,10 +49,18 @@ def best_worst_population(star: DataFrame, dim_lga: DataFrame, months: int = 12)
              .limit(1).withColumn("performance", F.lit("worst")))
     both = best.unionByName(worst)
     lga = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"), *PROFILE))
-    return (both.join(lga, "listing_neighbourhood", "left")
+    metrics = ["revenue_per_active_listing", "n_active_listings", *PROFILE, "male_share_pct"]
+    ends = (both.join(lga, "listing_neighbourhood", "left")
             .select("performance", "listing_neighbourhood", "revenue_per_active_listing",
                     "n_active_listings", *PROFILE,
                     ratio_pct("tot_p_m", "tot_p_p").alias("male_share_pct")))
+    # the answer to "main differences": best minus worst per metric (one aggregate over the two rows)
+    diff = ends.agg(
+        F.lit("best_minus_worst").alias("performance"),
+        F.lit(None).cast("string").alias("listing_neighbourhood"),
+        *[(F.max(F.when(F.col("performance") == "best", F.col(m)))
+           - F.max(F.when(F.col("performance") == "worst", F.col(m)))).alias(m) for m in metrics])
+    return ends.unionByName(diff)
 
 
 def best_listing_type(star: DataFrame, k: int = 5) -> DataFrame:
