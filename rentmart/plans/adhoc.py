@@ -108,7 +108,7 @@ def multi_host_same_lga(star: DataFrame) -> DataFrame:
 def mortgage_coverage(star: DataFrame, dim_lga: DataFrame, months: int = 12) -> DataFrame:
     """For hosts with a single listing: does their revenue over the last ``months``
     months cover 12 x the monthly median mortgage of the listing's neighbourhood?
-    One row per neighbourhood (Q4)."""
+    One row per neighbourhood and one overall row (NULL neighbourhood) (Q4)."""
     hosts = star.filter(F.col("host_orig_id").isNotNull())
     single = (hosts.groupBy("host_orig_id")
               .agg(F.count_distinct("list_orig_id").alias("__n"))
@@ -121,8 +121,11 @@ def mortgage_coverage(star: DataFrame, dim_lga: DataFrame, months: int = 12) ->
     per = (recent.join(single, "host_orig_id", "left_semi")
            .join(lga, "listing_neighbourhood", "left"))
     covers = F.col("revenue_12m") >= F.col("annual_mortgage")
-    return (per.groupBy("listing_neighbourhood", "annual_mortgage")
-            .agg(F.count(F.lit(1)).alias("n_hosts"),
-                 count_if(covers).alias("n_hosts_covering"),
-                 F.sum("revenue_12m").alias("revenue_12m"))
+    measures = [F.count(F.lit(1)).alias("n_hosts"), count_if(covers).alias("n_hosts_covering"),
+                F.sum("revenue_12m").alias("revenue_12m")]
+    by_lga = per.groupBy("listing_neighbourhood", "annual_mortgage").agg(*measures)
+    # the overall answer: every single-listing host, NULL neighbourhood and mortgage
+    overall = per.agg(F.lit(None).cast("string").alias("listing_neighbourhood"),
+                      F.lit(None).cast("bigint").alias("annual_mortgage"), *measures)
+    return (by_lga.unionByName(overall)
             .withColumn("covering_pct", ratio_pct("n_hosts_covering", "n_hosts")))
