@@ -138,6 +138,9 @@ def test_pipeline_idempotent_truncate_and_export(spark, built):
     assert spark.sql("SELECT count(*) AS n FROM fx_warehouse.fact").first().n == 8
     assert spark.table("fx_datamart.dm_host_neighbourhood").count() == len(first["dm_host_neighbourhood"])
     assert spark.table("fx_warehouse.listings").count() == 9          # month-partitioned table
+    lean = {k: rows(v) for k, v in run_pipeline(spark, str(built["root"] / "wh_lean"), feed_dirs=built["paths"],
+                                                 write_staging=False).items()}
+    assert lean == first
     truncate_all(spark, target)
     assert spark.read.parquet(f"{target}/warehouse/fact").count() == 0
     assert "host_neighf" in spark.read.parquet(f"{target}/warehouse/fact").columns
