@@ -1,6 +1,6 @@
 """Command line: the full rebuild, one incremental refresh, mart exports.
 
-    python -m rentmart rebuild --feeds <root> --target <warehouse> [--export <dir>]
+    python -m rentmart rebuild --feeds <root> --target <warehouse> [--export <dir>] [--lean]
     python -m rentmart refresh --feeds <root> --target <warehouse> [--export <dir>]
     python -m rentmart truncate --target <warehouse>
 
@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--export", help="folder for the ordered mart CSV exports")
     rb.add_argument("--divisor", choices=["active", "all"], default="active")
     rb.add_argument("--catalog-prefix", help="also register <prefix><layer>.<table> in the catalog")
+    rb.add_argument("--lean", action="store_true",
+                    help="do not store the staging copy of the feeds (one write of the listings)")
     rf = sub.add_parser("refresh", help="take new listing files once and refresh the touched months")
     rf.add_argument("--feeds", required=True)
     rf.add_argument("--target", required=True)
@@ -48,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     if args.cmd == "rebuild":
         run_pipeline(spark, args.target, feed_dirs=_feed_dirs(args.feeds), export_dir=args.export,
-                     property_divisor=args.divisor)
+                     property_divisor=args.divisor, write_staging=not args.lean)
         if args.catalog_prefix is not None:
             register_catalog(spark, args.target, args.catalog_prefix)
     elif args.cmd == "refresh":
