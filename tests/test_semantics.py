@@ -179,3 +179,16 @@ def test_cli_rebuild_and_refresh(spark, built, tmp_path):
     got = spark.read.parquet(str(tmp_path / "inc" / "datamart" / "dm_listing_neighbourhood"))
     want = spark.table("cli_datamart.dm_listing_neighbourhood")
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_empty_input(built):
+    from rentmart.plans import adhoc as A
+    star = FT.mart_input(built["wide"]).limit(0)
+    lga = built["dims"]["dim_lga"]
+    for df in (M.dm_listing_neighbourhood(star), M.dm_property_type(star), M.dm_host_neighbourhood(star),
+               A.best_listing_type(star), A.multi_host_same_lga(star)):
+        assert df.count() == 0
+    q1 = A.best_worst_population(star, lga).collect()
+    assert [r.performance for r in q1] == ["best_minus_worst"] and q1[0].revenue_per_active_listing is None
+    q4 = A.mortgage_coverage(star, lga).collect()
+    assert len(q4) == 1 and q4[0].n_hosts == 0 and q4[0].covering_pct is None
