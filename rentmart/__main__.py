@@ -37,12 +37,15 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--export", help="folder for the ordered mart CSV exports")
     rb.add_argument("--divisor", choices=["active", "all"], default="active")
     rb.add_argument("--catalog-prefix", help="also register <prefix><layer>.<table> in the catalog")
+    rb.add_argument("--on-error", choices=["raise", "null"], default="raise",
+                    help="a bad CSV field value fails the run, or loads as NULL")
     rb.add_argument("--lean", action="store_true",
                     help="do not store the staging copy of the feeds (one write of the listings)")
     rf = sub.add_parser("refresh", help="take new listing files once and refresh the touched months")
     rf.add_argument("--feeds", required=True)
     rf.add_argument("--target", required=True)
     rf.add_argument("--export", help="folder for the ordered mart CSV exports after the refresh")
+    rf.add_argument("--on-error", choices=["raise", "null"], default="raise")
     tr = sub.add_parser("truncate", help="empty every table, keeping schemas")
     tr.add_argument("--target", required=True)
     args = ap.parse_args(argv)
@@ -50,12 +53,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     if args.cmd == "rebuild":
         run_pipeline(spark, args.target, feed_dirs=_feed_dirs(args.feeds), export_dir=args.export,
-                     property_divisor=args.divisor, write_staging=not args.lean)
+                     property_divisor=args.divisor, write_staging=not args.lean, on_error=args.on_error)
         if args.catalog_prefix is not None:
             register_catalog(spark, args.target, args.catalog_prefix)
     elif args.cmd == "refresh":
         feeds = _feed_dirs(args.feeds)
-        inc = IncrementalMarts(spark, feeds["listings"], args.target)
+        inc = IncrementalMarts(spark, feeds["listings"], args.target, on_error=args.on_error)
         if not Warehouse(spark, args.target).exists("warehouse", "dim_lga"):
             inc.bootstrap({n: csv_feed.read_feed(spark, p, n) for n, p in feeds.items() if n != "listings"})
         inc.run_once()

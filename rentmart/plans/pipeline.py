@@ -38,7 +38,7 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
                  staging: dict[str, DataFrame] | None = None, export_dir: str | None = None,
                  property_divisor: str = "active", key_method: str = "range",
                  null_safe: bool = False, concurrency: int = 4,
-                 write_staging: bool = True) -> dict[str, DataFrame]:
+                 write_staging: bool = True, on_error: str = "raise") -> dict[str, DataFrame]:
     """Rebuild every layer under ``target``; returns the stored marts.
 
     Inputs are either CSV feed folders (``feed_dirs``) or typed staging frames.
@@ -46,12 +46,14 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
     submitted as concurrent jobs, up to ``concurrency`` at a time.
     ``write_staging=False`` skips storing the staging layer (a typed copy of the
     feeds) and writes the warehouse tables straight from the typed feeds: one
-    full write of the listings instead of two.
+    full write of the listings instead of two. ``on_error`` applies to the CSV
+    feeds: a bad field value fails the rebuild ("raise") or loads as NULL ("null",
+    see ``csv_feed.rejects`` to list such rows).
     """
     if (feed_dirs is None) == (staging is None):
         raise ValueError("give exactly one of feed_dirs or staging")
     wh = Warehouse(spark, target)
-    src = csv_feed.build_staging(spark, feed_dirs) if feed_dirs is not None else staging
+    src = csv_feed.build_staging(spark, feed_dirs, on_error) if feed_dirs is not None else staging
 
     # Staging layer
     if write_staging:
