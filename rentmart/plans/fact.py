@@ -114,7 +114,10 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
     listings, so a listing row finds its own tuple exactly when no key column is
     NULL, and the attributes it gets back are its own. The marts therefore read
     the listings directly (one scan, broadcast lookups of the two reference
-    dimensions) and give the same rows as ``star_view`` over the built fact.
+    dimensions) and give the same rows as ``star_view`` over the built fact,
+    given ``dim_lga`` is unique on its code, the key the warehouse declares and
+    ``quality.check_unique`` verifies (with duplicate codes the star's code
+    lookup would fan out differently from the name lookup used here).
     With ``null_safe=True`` (the fact's NULL-safe key option) every row matches.
     """
     if null_safe:
