@@ -176,6 +176,9 @@ def test_cli_rebuild_and_refresh(spark, built, tmp_path):
                  "--export", str(tmp_path / "out")]) == 0
     exported = spark.read.option("header", True).csv(str(tmp_path / "out" / "dm_property_type"))
     assert exported.count() == spark.table("cli_datamart.dm_property_type").count()
+    assert main(["truncate", "--target", str(tmp_path / "wh")]) == 0
+    fact = spark.read.parquet(str(tmp_path / "wh" / "warehouse" / "fact"))
+    assert fact.count() == 0 and "listing_idf" in fact.columns
     got = spark.read.parquet(str(tmp_path / "inc" / "datamart" / "dm_listing_neighbourhood"))
     want = spark.table("cli_datamart.dm_listing_neighbourhood")
     assert rows(got.select(*want.columns)) == rows(want)
