@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from rentmart.llm.oracles import SQL
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,5 +32,17 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_from_records(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_curve, op10_token_records)}
-ORACLE: dict[str, str] = {}
+def op5_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.fingerprints import fingerprints
+
+    return fingerprints(_documents(spark, sf_dir))
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.mixing import mix
+
+    return mix(_documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_pack_curve, op5_scaled_fingerprints, op8_mix_sources, op10_token_records)}
+ORACLE: dict[str, str] = dict(SQL)
