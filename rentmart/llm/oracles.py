@@ -26,5 +26,16 @@ e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END
 SELECT doc_id, size, source_size, target,
        (whole * size + least(size, greatest(budget - whole * source_size - before, 0)))::BIGINT AS taken
 FROM e
+""",
+    "op6_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key),
+j AS (SELECT k.*, (f.first_doc IS NOT NULL AND f.first_doc <> k.doc_id) AS dropped FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE dropped))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM j GROUP BY doc_id
 """,
 }

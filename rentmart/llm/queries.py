@@ -38,11 +38,18 @@ def op5_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_documents(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.lines import dedup_lines
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256", "keep_bitmap")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rentmart.llm.mixing import mix
 
     return mix(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_curve, op5_scaled_fingerprints, op8_mix_sources, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_pack_curve, op5_scaled_fingerprints, op6_line_dedup, op8_mix_sources, op10_token_records)}
 ORACLE: dict[str, str] = dict(SQL)
