@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: bounds of one Arrow batch handed to Python
 BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+_SHIPPED: list = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,8 +39,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a compressed table in the shared folder, computed once: for wide rows."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per context, unless they find it by the PYTHONPATH of the driver."""
+    package = Path(__file__).resolve().parents[1]
+    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or spark.sparkContext in _SHIPPED:
+        return
+    archive = f"{tempfile.mkdtemp(prefix='llm-package-')}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in package.rglob("*.py"):
+            z.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.append(spark.sparkContext)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds what one Arrow batch holds, so that a Python worker's memory does not follow the table."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
