@@ -51,5 +51,40 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_curve, op5_scaled_fingerprints, op6_line_dedup, op8_mix_sources, op10_token_records)}
+def op2_path_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.urltree import judge
+
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.langid import fit, identify
+
+    docs = _documents(spark, sf_dir)
+    return identify(docs.select("doc_id", "text"), fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.vectors import near_vectors
+
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.nearcopies import near_copies
+
+    return near_copies(_documents(spark, sf_dir), size=4)
+
+
+def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.repeats import remove_repeats
+
+    return remove_repeats(_documents(spark, sf_dir)).drop("text")
+
+
+_ALL = (
+    op1_pack_curve, op2_path_tree, op3_language_id, op4_near_vectors, op5_scaled_fingerprints, op6_line_dedup,
+    op7_bottom_k, op8_mix_sources, op9_recompression, op10_token_records,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = dict(SQL)
