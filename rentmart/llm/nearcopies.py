@@ -8,7 +8,8 @@ the union of a pair estimates its similarity and drops clear misses; what is lef
 each class with its likeliest partner, then the pairs that still lie in different components.
 
 Two sets with Jaccard J share none of their ``LEADS`` smallest union values with probability (1 - J)^LEADS: 3e-6 at 0.8.
-Members of long lists that have no short list left are compared with the heads alone (README).
+Members of long lists that have fewer short lists than that are in the end compared with all members of other
+components of their long lists, so nothing is lost there; a family that the heads already joined gives no such pair.
 """
 
 from __future__ import annotations
@@ -75,8 +76,9 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n long, h1 long, h2 long, sketch binary, lead array<long>")
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: pairs of classes from the inverted lists. ``classes``: doc, n, lead."""
+def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b), a < b: pairs of classes from the inverted lists; and the members of long lists (value, doc, n, covered:
+    by ``LEADS`` short lists). ``classes``: doc, n, lead."""
     entries = classes.select("doc", "n", F.posexplode("lead").alias("rank", "value"))
     early = entries.filter(F.col("rank") < LEADS)
     here = F.struct("doc", "n")
@@ -88,11 +90,14 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     hot = early.join(long_, "value").select("doc", "n", heads.alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
     # short lists: the first LEADS short values of each class
     short = entries.join(long_.select("value"), "value", "left_anti")
-    lists = short.groupBy("doc", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "value"))), 1, LEADS).alias("lead"))
+    lists = cut_lineage(short.groupBy("doc", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "value"))), 1, LEADS).alias("lead")))
+    covered = lists.filter(F.size("lead") >= LEADS).select("doc")
+    common = early.join(long_.select("value"), "value", "left_semi").join(covered.withColumn("covered", F.lit(True)), "doc", "left")
+    common = cut_lineage(common.select("value", "doc", "n", F.coalesce("covered", F.lit(False)).alias("covered")))
     lists = lists.select("doc", "n", F.explode("lead").alias("e")).groupBy("e.value").agg(F.collect_list(F.struct("doc", "n")).alias("members")).filter(F.size("members") > 1)
     one = lists.select(F.explode("members").alias("x"), "members").select("x", F.explode("members").alias("y"))
     one = one.filter(f"x.doc < y.doc and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
-    return one.unionByName(hot.select(F.least("doc", "o.doc").alias("a"), F.greatest("doc", "o.doc").alias("b"))).distinct()
+    return one.unionByName(hot.select(F.least("doc", "o.doc").alias("a"), F.greatest("doc", "o.doc").alias("b"))).distinct(), common
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -116,6 +121,9 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike: 100 * intersection >= percent * union."""
+    pairs = cut_lineage(pairs.select("a", "b"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    texts = stored(texts.join(wanted, "doc", "left_semi"), "texts")
     left, right = (texts.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
 
@@ -130,6 +138,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
+def _rest(common: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(a, b): in every long list, the members without enough short lists against all members of other components."""
+    part = found.withColumnRenamed("node", "doc")
+    m = common.join(part, "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
+    open_ = m.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(~F.col("covered")).alias("any")).filter("lo != hi and any")
+    m = cut_lineage(m.join(open_.select("value"), "value", "left_semi"))
+    x = m.filter(~F.col("covered")).select("value", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
+    both = x.join(m, "value").filter(f"px != part and 100 * least(n, nx) >= {percent} * greatest(n, nx)")
+    return both.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct()
+
+
 def _linked(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs whose ends lie in different components of ``found`` (node, component)."""
     a, b = (found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
@@ -150,19 +169,24 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     s = cut_lineage(sketches(d, size))
     full = s.filter("n > 0")
     classes = cut_lineage(full.groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead")))
-    pairs = cut_lineage(_estimated(_candidates(classes.select("doc", "n", "lead"), percent), classes, percent))
-    wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    texts = stored(d.join(wanted, "doc", "left_semi"), "texts")
+    candidates, common = _candidates(classes.select("doc", "n", "lead"), percent)
+    pairs = cut_lineage(_estimated(candidates, classes, percent))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", -F.col("a"))).alias("a")).select("a", "b")
-    first = cut_lineage(_confirmed(best, texts, size, percent))
+    first = cut_lineage(_confirmed(best, d, size, percent))
     found = cut_lineage(components(first))
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    second = cut_lineage(_confirmed(_linked(rest, found), texts, size, percent))
-    # members of a class point to it; all links together give the components
-    member = full.join(classes.select("n", "h1", "h2", F.col("doc").alias("head")), ["n", "h1", "h2"]).filter("doc != head")
-    edges = first.unionByName(second).unionByName(member.select(F.col("head").alias("a"), F.col("doc").alias("b")))
-    found = components(edges)
-    out = s.select("doc", "n").join(found.withColumnRenamed("node", "doc"), "doc", "left")
+    late = _estimated(_rest(common, found, percent), classes, percent).select("a", "b")
+    second = cut_lineage(_confirmed(_linked(rest, found).unionByName(late).distinct(), d, size, percent))
+    # members follow their class; only links between components of the first pass need another pass (mostly none)
+    member = full.join(classes.select("n", "h1", "h2", F.col("doc").alias("head")), ["n", "h1", "h2"]).groupBy("doc").agg(F.collect_set("head").alias("heads"))
+    member = cut_lineage(member.select("doc", F.array_min("heads").alias("head"), "heads"))
+    shared = member.filter("size(heads) > 1").select(F.col("head").alias("a"), F.explode("heads").alias("b")).filter("a != b")
+    la, lb = (found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    late = second.unionByName(shared).join(la, "a", "left").join(lb, "b", "left")
+    again = components(late.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    top = member.join(found.select(F.col("node").alias("head"), F.col("component").alias("c1")), "head", "left")
+    top = top.select("doc", F.coalesce("c1", "head").alias("c1")).join(again.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
+    out = s.select("doc", "n").join(top.select("doc", F.coalesce("c2", "c1").alias("component")), "doc", "left")
     component = F.coalesce("component", "doc")
     real = lambda c: F.when(c != NO_ID, c)
     return out.select(
