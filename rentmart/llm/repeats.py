@@ -148,7 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                         })
 
     wide = base.select("row", "text").join(spots, "row")
-    windows = cut_lineage(wide.mapInArrow(hashes, "g1 long, g2 long, row long, start int"))
+    windows = stored(wide.mapInArrow(hashes, "g1 long, g2 long, row long, start int"), "windows")
     again = windows.groupBy("g1", "g2").agg(F.count("*").alias("m")).filter("m > 1").select("g1", "g2")
     starts = windows.join(again, ["g1", "g2"]).groupBy("row").agg(F.collect_list("start").alias("starts"))
     # all words of a document that has copies go, if it holds a window
