@@ -1,8 +1,9 @@
 """Mixing sources to target weights, in DataFrame operations alone.
 
-Every row gets a hash-random key. The rows of a source are cut into ranges of that key, as many as its rows ask for, so
-that a source of any size is spread; sums per range and their running totals give every range its offset, and a
-sort inside the range gives every row the words before it. A source with budget T and size S is taken T div S times
+Every row gets a hash-random key. The rows of a source are cut into equal ranges of that key, so that a source of any
+size is spread over them; sums per range and their running totals give every range its offset, and a sort
+inside the range gives every row the words before it. Rows meet their source's figures by source and range, never by
+source alone. A source with budget T and size S is taken T div S times
 whole, and the rows whose running total lies below the remainder once more; the row on the edge gives only the
 words that are missing.
 """
@@ -16,7 +17,8 @@ from rentmart.llm.common import cut_lineage, pick
 
 #: runs of anything but white space
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_A_RANGE = 2_000
+#: parts of the key range that every source is cut into; a source has at most so many rows of sums
+RANGES = 4_096
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -59,16 +61,15 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int
     )
     if set(keep) <= {"doc_id", "source"}:
         rows = cut_lineage(rows)  # narrow: the words are counted once
-    per = rows.groupBy("_source", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
-    per = cut_lineage(targets(per, weights, most)).drop("source")
     spot = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
-    ranges = F.ceil(F.col("_n") / ROWS_A_RANGE)
-    rows = rows.join(per, "_source").withColumn("_range", F.floor(spot * ranges / F.lit(1 << 32)).cast("long"))
-    sums = rows.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
+    rows = rows.withColumn("_range", F.shiftright(spot * RANGES, 32))
+    cells = rows.groupBy("_source", "source", "_range").agg(F.sum("size").alias("_sum"))
+    per = cells.groupBy("_source", "source").agg(F.sum("_sum").alias("source_size"))
+    per = cut_lineage(targets(per, weights, most)).drop("source")
     before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("_source", "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    cells = cells.select("_source", "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")).join(per, "_source")
     inside = Window.partitionBy("_source", "_range").orderBy("_key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.join(sums, ["_source", "_range"]).withColumn(
+    placed = rows.drop("source").join(cells, ["_source", "_range"]).withColumn(
         "_before", F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
     budget = F.floor("target").cast("long")
