@@ -1,11 +1,12 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
 A sketch is the ``K`` smallest hashes of a document's shingle set. Documents with equal sets are one class and only the
-class goes on. The smallest retained values of every class form inverted lists. A list of at most ``LIST`` classes
-gives its pairs; a longer one (a common passage, a large family of copies) links each member with a few heads of the
-list alone, and its members go on to their next retained values until they have ``LEADS`` short ones. The sketch of
-the union of a pair estimates its similarity and drops clear misses; what is left is confirmed on full sets, first
-each class with its likeliest partner, then the pairs that still lie in different components.
+class goes on. The smallest retained values of every class form inverted lists. Every list first pairs its members with
+a few heads of the list alone; members of a list of more than ``LIST`` classes (a common passage, a large family of
+copies) go on to their next retained values until they have ``LEADS`` short ones. The sketch of the union of a
+pair estimates its similarity and drops clear misses; each class is confirmed with its likeliest head on full sets.
+Then the members of every short list that still lie in different components are paired, estimated and confirmed, so
+that a family which its heads joined is not compared all with all.
 
 Two sets with Jaccard J share none of their ``LEADS`` smallest union values with probability (1 - J)^LEADS: 3e-6 at 0.8.
 Members of long lists that have fewer short lists than that are in the end compared with all members of other
@@ -27,6 +28,8 @@ from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash,
 
 #: values of a sketch; values that lead to lists; values looked at for them; classes of a short list
 K, LEADS, LOOK, LIST = 64, 8, 32, 64
+#: sets up to this size are compared in full where members of long lists meet
+FULL = 256
 #: an estimate this far below the threshold ends a pair (four standard deviations of a sketch)
 MARGIN = 0.2
 
@@ -76,17 +79,19 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n long, h1 long, h2 long, sketch binary, lead array<long>")
 
 
-def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b), a < b: pairs of classes from the inverted lists; and the members of long lists (value, doc, n, covered:
-    by ``LEADS`` short lists). ``classes``: doc, n, lead."""
-    entries = classes.select("doc", "n", F.posexplode("lead").alias("rank", "value"))
+def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b), a < b: pairs of classes with heads of their inverted lists; the short lists (value, members); and the members
+    of long lists (value, doc, n, covered: by ``LEADS`` short lists). ``classes``: doc, n, lead, copies. Heads of a long list are its first, its smallest and its largest
+    member, one by hash, and the one with the most equal copies, as families grow around what is copied most."""
+    entries = classes.select("doc", "n", "copies", F.posexplode("lead").alias("rank", "value"))
     early = entries.filter(F.col("rank") < LEADS)
     here = F.struct("doc", "n")
     long_ = cut_lineage(entries.groupBy("value").agg(
         F.count("*").alias("members"), F.min(here).alias("h0"), F.min_by(here, F.xxhash64("doc", "value")).alias("h1"),
         F.min_by(here, F.struct("n", "doc")).alias("h2"), F.max_by(here, F.struct("n", "doc")).alias("h3"),
+        F.max_by(here, F.struct("copies", -F.col("doc"))).alias("h4"),
     ).filter(F.col("members") > LIST))
-    heads = F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3")))
+    heads = F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3", "h4")))
     hot = early.join(long_, "value").select("doc", "n", heads.alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
     # short lists: the first LEADS short values of each class
     short = entries.join(long_.select("value"), "value", "left_anti")
@@ -94,10 +99,23 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     covered = lists.filter(F.size("lead") >= LEADS).select("doc")
     common = early.join(long_.select("value"), "value", "left_semi").join(covered.withColumn("covered", F.lit(True)), "doc", "left")
     common = cut_lineage(common.select("value", "doc", "n", F.coalesce("covered", F.lit(False)).alias("covered")))
-    lists = lists.select("doc", "n", F.explode("lead").alias("e")).groupBy("e.value").agg(F.collect_list(F.struct("doc", "n")).alias("members")).filter(F.size("members") > 1)
-    one = lists.select(F.explode("members").alias("x"), "members").select("x", F.explode("members").alias("y"))
-    one = one.filter(f"x.doc < y.doc and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
-    return one.unionByName(hot.select(F.least("doc", "o.doc").alias("a"), F.greatest("doc", "o.doc").alias("b"))).distinct(), common
+    lists = lists.select("doc", "n", F.explode("lead").alias("e")).groupBy("e.value").agg(F.collect_list(F.struct("doc", "n")).alias("members"))
+    lists = cut_lineage(lists.filter(F.size("members") > 1))
+    drawn = F.element_at("members", (F.pmod(F.xxhash64("value"), F.size("members")) + 1).cast("int"))
+    ahead = lists.select(F.explode("members").alias("x"), F.array_distinct(F.array(F.array_min("members"), drawn)).alias("o"))
+    ahead = ahead.select("x.doc", "x.n", F.explode("o").alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
+    pairs = hot.unionByName(ahead).select(F.least("doc", "o.doc").alias("a"), F.greatest("doc", "o.doc").alias("b")).distinct()
+    return pairs, lists, common
+
+
+def _apart(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: the members of each short list that lie in different components of ``found``."""
+    m = lists.select("value", F.explode("members").alias("m")).select("value", "m.doc", "m.n")
+    m = m.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc"))
+    m = m.groupBy("value").agg(F.collect_list(F.struct("doc", "n", "part")).alias("members"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+    both = m.filter("lo != hi").select(F.explode("members").alias("x"), "members").select("x", F.explode("members").alias("y"))
+    both = both.filter(f"x.doc < y.doc and x.part != y.part and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    return both.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -138,14 +156,35 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def _rest(common: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(a, b): in every long list, the members without enough short lists against all members of other components."""
+def _whole(open_: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(doc, n, whole): the shingles of each document of ``open_`` that has at most ``FULL`` and is one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(part.column("text"), size)
+                yield pa.RecordBatch.from_pydict({
+                    "doc": part.column("doc"), "n": pa.array([len(x) for x in sets], pa.int64()),
+                    "whole": pa.array([x.view(np.int64) if len(x) <= FULL else None for x in sets], pa.list_(pa.int64())),
+                })
+
+    rows = texts.join(open_.select("doc").distinct(), "doc", "left_semi").mapInArrow(run, "doc long, n long, whole array<long>")
+    return rows.groupBy("doc", "n").agg(F.count("*").alias("rows"), F.first("whole").alias("whole")).filter("rows = 1").drop("rows")
+
+
+def _rest(common: DataFrame, found: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): in every long list, the members without enough short lists against all members of other components.
+
+    Sets of at most ``FULL`` shingles are compared in full where they meet, so that only links go on; where one of
+    two sets is larger, the pair goes on by its sizes.
+    """
     part = found.withColumnRenamed("node", "doc")
     m = common.join(part, "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
     open_ = m.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(~F.col("covered")).alias("any")).filter("lo != hi and any")
     m = cut_lineage(m.join(open_.select("value"), "value", "left_semi"))
-    x = m.filter(~F.col("covered")).select("value", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
-    both = x.join(m, "value").filter(f"px != part and 100 * least(n, nx) >= {percent} * greatest(n, nx)")
+    m = m.join(_whole(m, texts, size), ["doc", "n"], "left")
+    x = m.filter(~F.col("covered")).select("value", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"), F.col("whole").alias("wx"))
+    alike = f"100 * least(n, nx) >= {percent} * greatest(n, nx) and (whole is null or wx is null or {100 + percent} * size(array_intersect(whole, wx)) >= {percent} * (n + nx))"
+    both = x.join(m, (x["value"] == m["value"]) & F.expr("px != part") & F.expr(alike))
     return both.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct()
 
 
@@ -168,14 +207,15 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     d = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.col("text"))
     s = cut_lineage(sketches(d, size))
     full = s.filter("n > 0")
-    classes = cut_lineage(full.groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead")))
-    candidates, common = _candidates(classes.select("doc", "n", "lead"), percent)
+    classes = cut_lineage(full.groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead"), F.count("*").alias("copies")))
+    candidates, lists, common = _candidates(classes.select("doc", "n", "lead", "copies"), percent)
     pairs = cut_lineage(_estimated(candidates, classes, percent))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", -F.col("a"))).alias("a")).select("a", "b")
     first = cut_lineage(_confirmed(best, d, size, percent))
     found = cut_lineage(components(first))
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    late = _estimated(_rest(common, found, percent), classes, percent).select("a", "b")
+    open_ = _rest(common, found, d, size, percent).unionByName(_apart(lists, found, percent)).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    late = _estimated(open_.distinct(), classes, percent).select("a", "b")
     second = cut_lineage(_confirmed(_linked(rest, found).unionByName(late).distinct(), d, size, percent))
     # members follow their class; only links between components of the first pass need another pass (mostly none)
     member = full.join(classes.select("n", "h1", "h2", F.col("doc").alias("head")), ["n", "h1", "h2"]).groupBy("doc").agg(F.collect_set("head").alias("heads"))
