@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     rf.add_argument("--feeds", required=True)
     rf.add_argument("--target", required=True)
     rf.add_argument("--export", help="folder for the ordered mart CSV exports after the refresh")
+    rf.add_argument("--divisor", choices=["active", "all"], help="for a new warehouse; else the one it was built with")
     rf.add_argument("--on-error", choices=["raise", "null"], default="raise")
     tr = sub.add_parser("truncate", help="empty every table, keeping schemas")
     tr.add_argument("--target", required=True)
@@ -58,8 +59,9 @@ def main(argv: list[str] | None = None) -> int:
             register_catalog(spark, args.target, args.catalog_prefix)
     elif args.cmd == "refresh":
         feeds = _feed_dirs(args.feeds)
-        inc = IncrementalMarts(spark, feeds["listings"], args.target, on_error=args.on_error)
-        if not Warehouse(spark, args.target).exists("warehouse", "dim_lga"):
+        inc = IncrementalMarts(spark, feeds["listings"], args.target, property_divisor=args.divisor, on_error=args.on_error)
+        wh = Warehouse(spark, args.target)
+        if not wh.exists("warehouse", "dim_lga") or wh.read("warehouse", "dim_lga").isEmpty():
             inc.bootstrap({n: csv_feed.read_feed(spark, p, n) for n, p in feeds.items() if n != "listings"})
         inc.run_once()
         if args.export:

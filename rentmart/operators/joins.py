@@ -2,10 +2,11 @@
 
 All of them are equi-joins, so Spark keeps the hash / sort-merge strategies.
 A side is broadcast only when its size is known to be small: with a structural
-bound (``bounded=True``: months of the data, a fixed lookup), after a row-count
-check (``broadcast_if_small``: reference dimensions), or by Spark's own
-size-checked automatic broadcast and AQE's runtime re-plan; above the bound the
-join stays a shuffle join.
+bound (``bounded=True``: months of the data, a fixed lookup), or by Spark's own
+check of its bytes (the file sizes of a stored table, the shuffle sizes AQE sees
+at run time) against ``spark.sql.autoBroadcastJoinThreshold``; above it the join
+stays a shuffle join. The rebuild stores the reference dimensions before anything
+joins them, so their real sizes are known.
 """
 
 from __future__ import annotations
@@ -26,27 +27,6 @@ def key_match(pairs: list[tuple[Column, Column]], null_safe: bool = False) -> Co
     return _and([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
-BROADCAST_MAX_ROWS_CONF = "rentmart.broadcast.maxRows"
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast a reference dimension only after checking its size.
-
-    Without cost-based statistics Spark estimates a join's size as the product
-    of its inputs, so a dimension derived by joins (``dim_lga``, ``dim_suburb``)
-    never looks small and the fact side gets shuffled to meet it. Counting the
-    dimension (a small job over a small table) decides instead: at most
-    ``max_rows`` rows (session conf ``rentmart.broadcast.maxRows``) is
-    broadcast, anything larger stays a shuffle join.
-    """
-    spark = dim.sparkSession
-    limit = max_rows or int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
-    # count at most limit + 1 rows: the check itself stays cheap for a large table
-    n = dim.limit(limit + 1).count()
-    return F.broadcast(dim) if n <= limit else dim
-
-
 def left_join(df: DataFrame, dim: DataFrame, on: Column, bounded: bool = False) -> DataFrame:
     """LEFT OUTER join; ``bounded`` marks a dimension whose size has a fixed bound."""
     return df.join(F.broadcast(dim) if bounded else dim, on, "left")

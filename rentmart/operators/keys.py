@@ -21,10 +21,6 @@ from rentmart.session import ensure_checkpoint_dir
 
 _PID, _POS, _N, _OFF = "__range_id", "__pos", "__range_rows", "__range_offset"
 
-# "auto": at most this many rows are numbered by one task (checked with limit(n + 1).count())
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
 def _order(cols: list[str]) -> list[Column]:
     # ascending, NULLs first: Spark's default, spelled out so oracles can match it
     return [F.col(c).asc_nulls_first() for c in cols]
@@ -39,14 +35,9 @@ def dense_surrogate_key(df: DataFrame, order_cols: list[str], id_col: str,
     tuple) so the ids are reproducible. ``method="window"`` is the single-task
     global window, kept for the month dimension (bounded by the calendar) and checks.
     ``start`` shifts the numbering (used to append new members after ``max(id)``).
-    ``method="auto"`` counts up to ``SINGLE_TASK_MAX_ROWS + 1`` rows first and uses
-    the window when the frame is within that bound (the few new members of an
-    incremental batch), the range partitions otherwise. Both give the same ids.
+    Both methods give the same ids.
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
-    if method == "auto":
-        small = df.limit(SINGLE_TASK_MAX_ROWS + 1).count() <= SINGLE_TASK_MAX_ROWS
-        method = "window" if small else "range"
     if method == "window":
         w = Window.orderBy(*_order(order_cols))
         return df.withColumn(id_col, (F.row_number().over(w) - 1 + start_col).cast("bigint"))

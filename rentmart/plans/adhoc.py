@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import count_if, ratio, ratio_pct
-from rentmart.operators.joins import broadcast_if_small
 from rentmart.plans.marts import active
 
 
@@ -48,7 +47,7 @@ def best_worst_population(star: DataFrame, dim_lga: DataFrame, months: int = 12)
     worst = (per.orderBy(F.asc("revenue_per_active_listing"), F.asc("listing_neighbourhood"))
              .limit(1).withColumn("performance", F.lit("worst")))
     both = best.unionByName(worst)
-    lga = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"), *PROFILE))
+    lga = dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"), *PROFILE)
     metrics = ["revenue_per_active_listing", "n_active_listings", *PROFILE, "male_share_pct"]
     ends = (both.join(lga, "listing_neighbourhood", "left")
             .select("performance", "listing_neighbourhood", "revenue_per_active_listing",
@@ -88,44 +87,62 @@ def best_listing_type(star: DataFrame, k: int = 5) -> DataFrame:
 
 
 def multi_host_same_lga(star: DataFrame) -> DataFrame:
-    """Share of listing snapshots located in the host's own LGA, for hosts with
-    several listings against hosts with one (Q3)."""
+    """Share of listings located in the host's own LGA, for hosts with several
+    listings against hosts with one (Q3).
+
+    A listing counts once however often it was scraped, and as located there if
+    any of its snapshots is. Hosts whose listings all lack a key part have no
+    listing to count and form a group of their own.
+    """
     same = F.coalesce(F.col("listing_neighbourhood") == F.col("host_neighbourhood_lga"), F.lit(False))
-    per_host = (star.filter(F.col("host_orig_id").isNotNull())
-                .groupBy("host_orig_id")
-                .agg(F.count_distinct("list_orig_id").alias("n_listings"),
-                     F.count(F.lit(1)).alias("n_rows"),
-                     count_if(same).alias("n_same")))
+    per_listing = (star.filter(F.col("host_orig_id").isNotNull())
+                   .groupBy("host_orig_id", "list_orig_id").agg(F.max(same).alias("same")))
+    per_host = per_listing.groupBy("host_orig_id").agg(
+        F.count("list_orig_id").alias("n_listings"),
+        count_if(F.col("same") & F.col("list_orig_id").isNotNull()).alias("n_same"))
     return (per_host
-            .withColumn("host_category", F.when(F.col("n_listings") > 1, "multiple").otherwise("single"))
+            .withColumn("host_category", F.when(F.col("n_listings") > 1, "multiple")
+                        .when(F.col("n_listings") == 1, "single").otherwise("no countable listing"))
             .groupBy("host_category")
             .agg(F.count(F.lit(1)).alias("n_hosts"),
-                 F.sum("n_rows").alias("n_listing_rows"),
-                 F.sum("n_same").alias("n_same_lga_rows"))
-            .withColumn("same_lga_pct", ratio_pct("n_same_lga_rows", "n_listing_rows")))
+                 F.sum("n_listings").alias("n_listings"),
+                 F.sum("n_same").alias("n_same_lga_listings"))
+            .withColumn("same_lga_pct", ratio_pct("n_same_lga_listings", "n_listings")))
 
 
 def mortgage_coverage(star: DataFrame, dim_lga: DataFrame, months: int = 12) -> DataFrame:
     """For hosts with a single listing: does their revenue over the last ``months``
     months cover 12 x the monthly median mortgage of the listing's neighbourhood?
-    One row per neighbourhood and one overall row (NULL neighbourhood) (Q4)."""
-    hosts = star.filter(F.col("host_orig_id").isNotNull())
-    single = (hosts.groupBy("host_orig_id")
-              .agg(F.count_distinct("list_orig_id").alias("__n"))
-              .filter(F.col("__n") == 1).select("host_orig_id"))
-    recent = (hosts.filter(last_months(star, months) & F.col("listing_neighbourhood").isNotNull())
-              .groupBy("host_orig_id", "listing_neighbourhood")
-              .agg(F.sum("revenue").alias("revenue_12m")))
-    lga = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"),
-                                            (F.col("median_mortgage_repay_monthly") * 12).alias("annual_mortgage")))
-    per = (recent.join(single, "host_orig_id", "left_semi")
-           .join(lga, "listing_neighbourhood", "left"))
+    One row per neighbourhood and one overall row (NULL neighbourhood) (Q4).
+
+    A host counts once, in the neighbourhood of its latest month within those
+    months that has one (the last by name within a month), with all its revenue
+    of those months; a host without a known neighbourhood in them is left out.
+    """
+    recent = last_months(star, months)
+    place = F.struct("year_month", "listing_neighbourhood")
+    # one aggregate per (host, listing), then per host: no join back to the star
+    per_listing = (star.filter(F.col("host_orig_id").isNotNull())
+                   .groupBy("host_orig_id", "list_orig_id")
+                   .agg(F.sum(F.when(recent, F.col("revenue"))).alias("revenue_12m"),
+                        F.max(F.when(recent & F.col("listing_neighbourhood").isNotNull(), place)).alias("place")))
+    single = (per_listing.groupBy("host_orig_id")
+              .agg(F.count("list_orig_id").alias("n"), F.sum("revenue_12m").alias("revenue_12m"),
+                   F.max("place").alias("place"))
+              .filter((F.col("n") == 1) & F.col("place").isNotNull())
+              .select("revenue_12m", F.col("place.listing_neighbourhood").alias("listing_neighbourhood")))
+    lga = dim_lga.select(F.col("lga_name").alias("listing_neighbourhood"),
+                         (F.col("median_mortgage_repay_monthly") * 12).alias("annual_mortgage"))
+    per = single.join(lga, "listing_neighbourhood", "left")
     covers = F.col("revenue_12m") >= F.col("annual_mortgage")
-    measures = [F.count(F.lit(1)).alias("n_hosts"), count_if(covers).alias("n_hosts_covering"),
-                F.sum("revenue_12m").alias("revenue_12m")]
-    by_lga = per.groupBy("listing_neighbourhood", "annual_mortgage").agg(*measures)
-    # the overall answer: every single-listing host, NULL neighbourhood and mortgage
-    overall = per.agg(F.lit(None).cast("string").alias("listing_neighbourhood"),
-                      F.lit(None).cast("bigint").alias("annual_mortgage"), *measures)
+    by_lga = (per.groupBy("listing_neighbourhood", "annual_mortgage")
+              .agg(F.count(F.lit(1)).alias("n_hosts"), count_if(covers).alias("n_hosts_covering"),
+                   F.sum("revenue_12m").alias("revenue_12m")))
+    # the overall answer sums the few rows above; it is there even without any host
+    overall = by_lga.agg(F.lit(None).cast("string").alias("listing_neighbourhood"),
+                         F.lit(None).cast("bigint").alias("annual_mortgage"),
+                         F.coalesce(F.sum("n_hosts"), F.lit(0)).alias("n_hosts"),
+                         F.coalesce(F.sum("n_hosts_covering"), F.lit(0)).alias("n_hosts_covering"),
+                         F.sum("revenue_12m").alias("revenue_12m"))
     return (by_lga.unionByName(overall)
             .withColumn("covering_pct", ratio_pct("n_hosts_covering", "n_hosts")))

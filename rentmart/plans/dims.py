@@ -33,19 +33,29 @@ def dim_lga(census_1: DataFrame, census_2: DataFrame, lga_code: DataFrame) -> Da
         "median_tot_hhd_inc_weekly", "average_household_size")
 
 
+def _suburbs(lga_suburb: DataFrame, dim_lga_df: DataFrame) -> DataFrame:
+    lga = dim_lga_df.select(F.col("lga_code_2016").alias("lga_code"),
+                            F.col("lga_name").alias("__lga_name"),
+                            F.lower("lga_name").alias("__lga_key"))
+    return (lga_suburb.withColumn("__sub_key", F.lower("lga_name"))
+            .join(lga, F.col("__sub_key") == F.col("__lga_key"), "left")
+            .select("suburb_name", "lga_code", F.col("__lga_name").alias("lga_name")))
+
+
+def suburb_rows(lga_suburb: DataFrame, dim_lga_df: DataFrame) -> DataFrame:
+    """``dim_suburb`` without its ids: what joins by name need. No job runs to plan it."""
+    return append_member(_suburbs(lga_suburb, dim_lga_df), (UNKNOWN, UNKNOWN, UNKNOWN),
+                         "suburb_name string, lga_code string, lga_name string")
+
+
 def dim_suburb(lga_suburb: DataFrame, dim_lga_df: DataFrame, key_method: str = "range") -> DataFrame:
     """Suburbs with their LGA, matched ignoring case, plus the unknown member.
 
     The suburb list is a reference table, but nothing bounds its size, so it is
     numbered by range partitions like the large dimensions.
     """
-    lga = dim_lga_df.select(F.col("lga_code_2016").alias("lga_code"),
-                            F.col("lga_name").alias("__lga_name"),
-                            F.lower("lga_name").alias("__lga_key"))
-    j = (lga_suburb.withColumn("__sub_key", F.lower("lga_name"))
-         .join(lga, F.col("__sub_key") == F.col("__lga_key"), "left")
-         .select("suburb_name", "lga_code", F.col("__lga_name").alias("lga_name")))
-    keyed = dense_surrogate_key(j, ["suburb_name", "lga_code", "lga_name"], "suburb_id", method=key_method)
+    keyed = dense_surrogate_key(_suburbs(lga_suburb, dim_lga_df), ["suburb_name", "lga_code", "lga_name"],
+                                "suburb_id", method=key_method)
     return append_member(keyed.select("suburb_id", "suburb_name", "lga_code", "lga_name"),
                          (UNKNOWN_SUBURB_ID, UNKNOWN, UNKNOWN, UNKNOWN),
                          "suburb_id bigint, suburb_name string, lga_code string, lga_name string")

@@ -11,8 +11,8 @@ the same rows.
 Join strategy: ``price < cap`` is applied before the joins (it only reads the
 left side, so the result is the same as filtering after them, and it reaches the
 Parquet scan). ``dim_date`` is bounded by the calendar and broadcast; ``dim_lga``
-and ``dim_suburb`` are reference tables, broadcast after a row-count check
-(``broadcast_if_small``); ``dim_listing`` and ``dim_host`` grow with the data and
+and ``dim_suburb`` are reference tables, broadcast by Spark when their stored size
+is below its threshold; ``dim_listing`` and ``dim_host`` grow with the data and
 are joined by shuffle, with AQE splitting skewed keys.
 """
 
@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import UNKNOWN, UNKNOWN_SUBURB_ID, revenue, stays
-from rentmart.operators.joins import (broadcast_if_small, case_insensitive_left_join,
-                                      composite_left_join, left_join)
+from rentmart.operators.joins import case_insensitive_left_join, composite_left_join, left_join
 
 # columns every fact / mart row reads anyway: they spread NULL-key rows in shuffle joins
 SPREAD_BY = ["listing_id", "host_id", "scraped_date", "price"]
@@ -55,10 +54,10 @@ def build_wide_fact(listings: DataFrame, dims: dict[str, DataFrame], price_cap:
     host_attrs = ["host_name", "host_since", "host_is_superhost"]
     dh = dims["dim_host"].select(F.col("hosts_id").alias("host_idf"), F.col("host_orig_id"),
                                  *[F.col(c).alias(f"dh_{c}") for c in host_attrs])
-    ds = broadcast_if_small(dims["dim_suburb"].select(
-        "suburb_id", F.col("suburb_name").alias("ds_suburb_name"), F.col("lga_name").alias("ds_lga_name")))
-    dg = broadcast_if_small(dims["dim_lga"].select(F.col("lga_code_2016").alias("listing_neigh_idf"),
-                                                   F.col("lga_name").alias("dg_lga_name")))
+    ds = dims["dim_suburb"].select(
+        "suburb_id", F.col("suburb_name").alias("ds_suburb_name"), F.col("lga_name").alias("ds_lga_name"))
+    dg = dims["dim_lga"].select(F.col("lga_code_2016").alias("listing_neigh_idf"),
+                                                   F.col("lga_name").alias("dg_lga_name"))
     dd = dims["dim_date"].select("date_id", F.col("year_month").alias("dd_year_month"))
 
     j = composite_left_join(f, dl, [("listing_id", "list_orig_id")] + [(c, f"dl_{c}") for c in attrs],
@@ -102,8 +101,10 @@ def mart_input(wide: DataFrame) -> DataFrame:
 
 
 def build_fact(listings: DataFrame, dims: dict[str, DataFrame], price_cap: int = 2000,
-               null_safe: bool = False) -> DataFrame:
-    return fact_table(build_wide_fact(listings, dims, price_cap, null_safe))
+               null_safe: bool = False, month: bool = False) -> DataFrame:
+    """The fact; with ``month`` also ``year_month``, by which the stored table is partitioned (ids change on a rebuild)."""
+    wide = build_wide_fact(listings, dims, price_cap, null_safe)
+    return wide.select(*FACT_COLUMNS, "year_month") if month else fact_table(wide)
 
 
 def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
@@ -119,6 +120,7 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
     ``quality.check_unique`` verifies (with duplicate codes the star's code
     lookup would fan out differently from the name lookup used here).
     With ``null_safe=True`` (the fact's NULL-safe key option) every row matches.
+    ``dim_suburb`` is needed by name only, so ``dims.suburb_rows`` (not numbered) will do.
     """
     if null_safe:
         listing_ok = host_ok = F.lit(True)
@@ -128,16 +130,16 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
                             "has_availability", "number_of_reviews"]])
         host_ok = _and([F.col(c).isNotNull() for c in
                         ["host_id", "host_name", "host_since", "host_is_superhost"]])
-    ds = broadcast_if_small(dim_suburb.select("suburb_id", F.col("suburb_name").alias("ds_suburb_name"),
-                                              F.col("lga_name").alias("ds_lga_name")))
-    dg = broadcast_if_small(dim_lga.select(F.col("lga_name").alias("dg_lga_name")))
+    ds = dim_suburb.select(F.col("suburb_name").alias("ds_suburb_name"),
+                                              F.col("lga_name").alias("ds_lga_name"))
+    dg = dim_lga.select(F.col("lga_name").alias("dg_lga_name"))
     j = case_insensitive_left_join(listings.filter(F.col("price") < price_cap), ds,
                                    "host_neighbourhood", "ds_suburb_name", spread_by=SPREAD_BY)
     j = left_join(j, dg, F.col("dg_lga_name") == F.col("listing_neighbourhood"))
     return j.select(
         "year_month",
         F.col("dg_lga_name").alias("listing_neighbourhood"),
-        F.when(F.col("suburb_id").isNull(), F.lit(UNKNOWN)).otherwise(F.col("ds_lga_name"))
+        F.when(F.col("ds_suburb_name").isNull(), F.lit(UNKNOWN)).otherwise(F.col("ds_lga_name"))
         .alias("host_neighbourhood_lga"),
         *[F.when(listing_ok, F.col(src)).alias(dst) for src, dst in
           [("listing_id", "list_orig_id"), ("property_type", "property_type"),
@@ -155,14 +157,14 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
 def star_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The fact joined back to its dimensions by surrogate key (the reference path)."""
     dd = F.broadcast(dims["dim_date"].select(F.col("date_id").alias("__d"), "year_month"))
-    dg = broadcast_if_small(dims["dim_lga"].select(F.col("lga_code_2016").alias("__g"),
-                                                   F.col("lga_name").alias("listing_neighbourhood")))
+    dg = dims["dim_lga"].select(F.col("lga_code_2016").alias("__g"),
+                                                   F.col("lga_name").alias("listing_neighbourhood"))
     dl = dims["dim_listing"].select(F.col("listing_id").alias("__l"), "list_orig_id", "property_type",
                                     "room_type", "accommodates", "has_availability")
     dh = dims["dim_host"].select(F.col("hosts_id").alias("__h"), "host_orig_id", "host_is_superhost")
-    ds = broadcast_if_small(dims["dim_suburb"].select(F.col("suburb_id").alias("__s"),
-                                                      F.col("lga_name").alias("host_neighbourhood_lga")))
-    j = (fact.join(dd, F.col("__d") == F.col("date_id"), "left")
+    ds = dims["dim_suburb"].select(F.col("suburb_id").alias("__s"),
+                                                      F.col("lga_name").alias("host_neighbourhood_lga"))
+    j = (fact.select(*FACT_COLUMNS).join(dd, F.col("__d") == F.col("date_id"), "left")
          .join(dg, F.col("__g") == F.col("listing_neigh_idf"), "left")
          .join(dl, F.col("__l") == F.col("listing_idf"), "left")
          .join(dh, F.col("__h") == F.col("host_idf"), "left")

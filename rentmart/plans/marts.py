@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import count_if, max_if, min_if, ratio, ratio_decimal, ratio_pct, sum_if
-from rentmart.operators.joins import key_match
 from rentmart.operators.window import pct_change
 
 
@@ -38,8 +37,18 @@ KPI_COLUMNS = ["active_listings_rate", "min_price_act", "max_price_act", "median
                "total_number_of_stays", "average_estimated_revenue_per_active_listings"]
 
 
-def _kpi_sums_exact(star: DataFrame, g: list[str]) -> DataFrame:
-    """Host level, then group level: exact distinct host and superhost counts."""
+def _histogram(star: DataFrame, g: list[str]) -> DataFrame:
+    """Per group and price of the active rows: how many."""
+    return star.filter(active()).groupBy(*g, F.col("price").alias("__price")).agg(F.count(F.lit(1)).alias("__freq"))
+
+
+def _kpi_sums_exact(star: DataFrame, g: list[str], median: bool) -> DataFrame:
+    """Host level, then group level: exact distinct host and superhost counts.
+
+    With ``median`` the price histogram's rows join the host-level rows in the
+    one group-level aggregate: they carry a price and its frequency, and NULL in
+    every other column, which sums, extremes and counts of columns skip.
+    """
     per_host = star.groupBy(*g, "host_orig_id").agg(
         count_if(active()).alias("n_active"),
         count_if(inactive()).alias("n_inactive"),
@@ -52,7 +61,12 @@ def _kpi_sums_exact(star: DataFrame, g: list[str]) -> DataFrame:
         sum_if(active(), "stays").alias("total_number_of_stays"),
         F.sum("revenue").alias("sum_revenue"),
         F.max("host_is_superhost").alias("is_superhost"))
+    exact = []
+    if median:
+        per_host = per_host.unionByName(_histogram(star, g), allowMissingColumns=True)
+        exact = [F.percentile("__price", 0.5, F.col("__freq")).cast("double").alias("median_price_act")]
     return per_host.groupBy(*g).agg(
+        *exact,
         F.sum("n_active").alias("n_active"),
         F.sum("n_inactive").alias("n_inactive"),
         F.sum("n_known").alias("n_known"),
@@ -100,8 +114,9 @@ def listing_kpi_base(star: DataFrame, keys: list[str], median: str = "exact",
 
     The exact median comes from a price histogram of the active rows,
     ``percentile(price, 0.5, frequency)``, which holds at most one entry per
-    distinct price of a group, joined back on the group key (NULL-safe: a NULL
-    neighbourhood is a group of its own). ``median="approx"`` uses
+    distinct price of a group. Its rows are united with the host-level rows, so
+    that step 2 is the only aggregate by group and nothing is joined back.
+    ``median="approx"`` uses
     ``percentile_approx`` over the active rows instead, as the warehouse did.
     ``distinct="approx"`` counts hosts and superhosts with HyperLogLog++ sketches
     in a single aggregate: no host-level shuffle, ~5% relative error. It pays off
@@ -113,19 +128,21 @@ def listing_kpi_base(star: DataFrame, keys: list[str], median: str = "exact",
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")
     g = [*keys, "year_month"]
-    base = _kpi_sums_exact(star, g) if distinct == "exact" else _kpi_sums_approx(star, g)
+    out = [*g, "n_active", "n_inactive", "n_known", "n_rows", "min_price_act", "max_price_act",
+           "median_price_act", "number_of_distinct_hosts", "n_superhosts", "avg_rev_score_act",
+           "total_number_of_stays", "sum_revenue"]
+    if distinct == "exact" and median == "exact":
+        return _kpi_sums_exact(star, g, True).select(*out)
+    base = _kpi_sums_exact(star, g, False) if distinct == "exact" else _kpi_sums_approx(star, g)
     if median == "exact":
-        hist = star.filter(active()).groupBy(*g, "price").agg(F.count(F.lit(1)).alias("__n"))
-        med = hist.groupBy(*[F.col(c).alias(f"__m_{c}") for c in g]).agg(
-            F.percentile("price", 0.5, F.col("__n")).cast("double").alias("median_price_act"))
+        med = _histogram(star, g).groupBy(*g).agg(
+            F.percentile("__price", 0.5, F.col("__freq")).cast("double").alias("median_price_act"))
     else:
-        med = star.filter(active()).groupBy(*[F.col(c).alias(f"__m_{c}") for c in g]).agg(
+        med = star.filter(active()).groupBy(*g).agg(
             F.percentile_approx("price", 0.5, 10000).cast("double").alias("median_price_act"))
-    on = key_match([(F.col(c), F.col(f"__m_{c}")) for c in g], null_safe=True)
-    return (base.join(med, on, "left")
-            .select(*g, "n_active", "n_inactive", "n_known", "n_rows", "min_price_act", "max_price_act",
-                    "median_price_act", "number_of_distinct_hosts", "n_superhosts", "avg_rev_score_act",
-                    "total_number_of_stays", "sum_revenue"))
+    # one row of each kind per group at most: max() takes the value that is there
+    both = base.unionByName(med, allowMissingColumns=True)
+    return both.groupBy(*g).agg(*[F.max(c).alias(c) for c in out if c not in g]).select(*out)
 
 
 def listing_kpis(base: DataFrame, keys: list[str], divisor: str = "active") -> DataFrame:
@@ -186,6 +203,15 @@ def dm_host_neighbourhood(star: DataFrame, exact: bool = False, distinct: str =
                     "estimated_revenue", per_host.alias("estimated_revenue_per_host_distinct"))
 
 
+#: the marts kept as one aggregate table by group and month, from which their KPIs follow
+LISTING_MARTS = {"dm_listing_neighbourhood": ["listing_neighbourhood"], "dm_property_type": PROPERTY_KEYS}
+
+
+def divisor_of(name: str, property_divisor: str) -> str:
+    """The revenue divisor of a listing mart: only M2 has the choice."""
+    return property_divisor if name == "dm_property_type" else "active"
+
+
 MART_ORDER = {
     "dm_listing_neighbourhood": ["listing_neighbourhood", "year_month"],
     "dm_property_type": PROPERTY_KEYS + ["year_month"],

@@ -9,7 +9,10 @@ and listings with ``year_month``; ``dim_lga``, ``dim_host``, ``dim_listing``,
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
@@ -20,10 +23,23 @@ from rentmart.sources.tables import Warehouse, export_csv
 
 STAGING_TABLES = ["listings", "census_1", "census_2", "lga_code", "lga_suburb"]
 WAREHOUSE_TABLES = ["census_1", "census_2", "lga_code", "lga_suburb", "listings",
-                    "dim_lga", "dim_suburb", "dim_host", "dim_listing", "dim_date", "fact"]
+                    "dim_lga", "dim_suburb", "dim_host", "dim_listing", "dim_date", "fact",
+                    "dm_listing_neighbourhood_base", "dm_property_type_base"]
 MART_TABLES = ["dm_listing_neighbourhood", "dm_property_type", "dm_host_neighbourhood"]
 
 
+BATCH, REBUILT, MONTH = "batch_id", -1, ["year_month"]
+
+
+def write_state(wh: Warehouse, divisor: str, null_safe: bool, taken: list[str]) -> None:
+    """What a later refresh needs to know: the options of the marts, the listing files already loaded (as many as
+    the folder lists), and a new name for the stream, whose checkpoint thereby starts anew."""
+    spark = wh.spark
+    wh.write(spark.createDataFrame([(path,) for path in taken], "path string"), "warehouse", "taken_files")
+    wh.write(spark.createDataFrame([(uuid.uuid4().hex, divisor, null_safe)], "stream string, divisor string, null_safe boolean"),
+             "warehouse", "load_state")
+
+
 def build_marts(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataFrame,
                 property_divisor: str = "active", null_safe: bool = False) -> dict[str, DataFrame]:
     star = FT.mart_input_direct(listings, dim_lga, dim_suburb, null_safe=null_safe)
@@ -63,9 +79,11 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
         st = dict(src)
     # Warehouse copies, listings with year_month (partitioned by month)
     copies = {name: (lambda n=name: wh.write(st[n], "warehouse", n)) for name in STAGING_TABLES if name != "listings"}
-    copies["listings"] = lambda: wh.write(D.load_listings(st["listings"]), "warehouse", "listings", ["year_month"])
+    # the layout the refresh goes on with: months, and in them the batch that brought the rows
+    copies["listings"] = lambda: wh.write(D.load_listings(st["listings"]).withColumn(BATCH, F.lit(REBUILT)),
+                                          "warehouse", "listings", ["year_month", BATCH])
     w = run_together(copies, concurrency)
-    listings = w["listings"]
+    listings = w["listings"].drop(BATCH)
     # D3, D5-D7 (independent), then D4 (needs dim_lga)
     dims = run_together({
         "dim_lga": lambda: wh.write(D.dim_lga(w["census_1"], w["census_2"], w["lga_code"]), "warehouse", "dim_lga"),
@@ -76,12 +94,22 @@ def run_pipeline(spark: SparkSession, target: str, feed_dirs: dict[str, str] | N
     lga = dims["dim_lga"]
     dims["dim_suburb"] = suburb = wh.write(D.dim_suburb(w["lga_suburb"], lga), "warehouse", "dim_suburb")
     # D8 and M1-M3 (the marts read the listings and the two reference dimensions only)
-    steps = {"fact": lambda: wh.write(FT.build_fact(listings, dims, null_safe=null_safe), "warehouse", "fact",
-                                      ["date_id"])}
-    for name, df in build_marts(listings, lga, suburb, property_divisor, null_safe).items():
-        steps[name] = lambda n=name, d=df: wh.write(d, "datamart", n)
+    star = FT.mart_input_direct(listings, lga, suburb, null_safe=null_safe)
+    steps = {"fact": lambda: wh.write(FT.build_fact(listings, dims, null_safe=null_safe, month=True), "warehouse", "fact",
+                                      MONTH),
+             "dm_host_neighbourhood": lambda: wh.write(M.dm_host_neighbourhood(star), "datamart",
+                                                       "dm_host_neighbourhood", MONTH)}
+    for name, keys in M.LISTING_MARTS.items():
+        steps[f"{name}_base"] = lambda n=name, k=keys: wh.write(M.listing_kpi_base(star, k), "warehouse", f"{n}_base", MONTH)
     done = run_together(steps, concurrency)
+    kpis = {name: (lambda n=name, k=keys: wh.write(
+        M.listing_kpis(done[f"{n}_base"], k, M.divisor_of(n, property_divisor)), "datamart", n, MONTH))
+        for name, keys in M.LISTING_MARTS.items()}
+    done |= run_together(kpis, concurrency)
     marts = {name: done[name] for name in MART_TABLES}
+    # last: the state a refresh starts from (a new stream, without the files taken here)
+    taken = src["listings"].inputFiles() if feed_dirs is not None else []
+    write_state(wh, property_divisor, null_safe, taken)
     if export_dir:
         for name, df in marts.items():
             export_csv(df, M.MART_ORDER[name], f"{export_dir.rstrip('/')}/{name}")
@@ -95,6 +123,8 @@ def register_catalog(spark: SparkSession, target: str, prefix: str = "") -> None
 
 
 def truncate_all(spark: SparkSession, target: str) -> None:
-    """Empty every staging, warehouse and mart table, keeping schemas."""
-    Warehouse(spark, target).truncate_all({"staging": STAGING_TABLES, "warehouse": WAREHOUSE_TABLES,
-                                           "datamart": MART_TABLES})
+    """Empty every staging, warehouse and mart table, keeping schemas (S9); the next refresh loads every file again."""
+    wh = Warehouse(spark, target)
+    wh.truncate_all({"staging": STAGING_TABLES, "warehouse": WAREHOUSE_TABLES, "datamart": MART_TABLES})
+    state = wh.read("warehouse", "load_state").first() if wh.exists("warehouse", "load_state") else None
+    write_state(wh, state.divisor if state else "active", bool(state and state.null_safe), [])

@@ -60,7 +60,7 @@ def _suburb(spark, sf_dir) -> DataFrame:
 def _mart_input(spark, sf_dir) -> DataFrame:
     lga = _lga(spark, sf_dir)
     return FT.mart_input_direct(_listings(spark, sf_dir), lga,
-                                D.dim_suburb(testmap.lga_suburb(spark, sf_dir), lga))
+                                D.suburb_rows(testmap.lga_suburb(spark, sf_dir), lga))
 
 
 def _dims(spark, sf_dir) -> dict[str, DataFrame]:
@@ -205,8 +205,8 @@ def q_dense_surrogate_key(spark, sf_dir):
 
 @register("union_member")
 def q_union_member(spark, sf_dir):
-    # the suburb list with the appended 'unknown' member
-    return _suburb(spark, sf_dir).select("suburb_name", "lga_code", "lga_name")
+    # the suburb list with the appended 'unknown' member (U1 / S8), key included
+    return _suburb(spark, sf_dir)
 
 
 # ---- dimensions and fact --------------------------------------------------------------

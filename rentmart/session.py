@@ -1,5 +1,9 @@
 """Session construction and the shared scratch / checkpoint location.
 
+The cluster decides: the master, the memory, the shuffle width and every other
+setting that ``spark-submit`` (or ``PYSPARK_SUBMIT_ARGS``, or the defaults file)
+names is left as it is. Only settings nobody made get a value here.
+
 On a cluster the checkpoint folder is the shared location the cluster names in
 ``spark.checkpoint.dir``; it is read from the session and never invented. Only a
 ``local[...]`` session without that setting (tests, the bench) gets a fresh
@@ -14,31 +18,45 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: SQL settings given a value where the session's configuration names none
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
 
 def build_session(master: str | None = None, cpus: int | None = None,
                   app: str = "rentmart", extra: dict | None = None) -> SparkSession:
-    """A session tuned for the marts: AQE on, UI off, UTC, shuffle width ~ 2x cores."""
-    cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
-    master = master or f"local[{cpus}]"
-    b = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(max(8, 2 * cpus)))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    """The session of the launcher, with ``DEFAULTS`` where it is silent.
+
+    ``master`` or ``cpus`` ask for a session of one's own (the bench, tests): a
+    local one on ``cpus`` threads unless ``master`` names another. ``extra``
+    settings are the caller's and are always made. A local session whose
+    shuffle width nobody set gets about twice its cores.
+    """
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ     # started by spark-submit
+    b = SparkSession.builder.appName(app)
+    if master or cpus:
+        b = b.master(master or f"local[{cpus}]")
+    if not submitted:
         # checkpoint files of numbered dimensions are removed once unreferenced
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    )
+        b = (b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    defaults = dict(DEFAULTS)
+    if sc.master.startswith("local"):
+        defaults["spark.sql.shuffle.partitions"] = str(max(8, 2 * sc.defaultParallelism))
+    made = sc.getConf()
+    for k, v in defaults.items():
+        if not made.contains(k) and k not in (extra or {}):
+            spark.conf.set(k, v)
+    sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -8,8 +8,8 @@ the current step.
 
 ``CREATE OR REPLACE TABLE .. AS SELECT`` becomes an overwrite of the folder (S6).
 A table that the warehouse rebuilt from itself (S7) is produced by one lazy
-DataFrame written once. Partitioned tables are overwritten per partition
-(``partitionOverwriteMode=dynamic``), which the incremental refresh uses, and
+DataFrame written once. Only the incremental refresh replaces single partitions
+(``replace="partitions"``); every other write replaces the table. Partitioned tables
 are written after a ``rebalance`` on the partition columns: without it every
 task writes a file into every month it holds (tasks x months small files); with
 it AQE keeps a month in few tasks and still splits a month that holds a large
@@ -18,6 +18,7 @@ share of the rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,16 +37,23 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None,
-              mode: str = "overwrite") -> DataFrame:
-        """CTAS-replace (S6): write the frame, then return the stored table."""
+              replace: str = "table") -> DataFrame:
+        """CTAS-replace (S6): write the frame, then return the stored table.
+
+        ``replace="table"`` leaves nothing of what the folder held;
+        ``"partitions"`` replaces only the partitions present in ``df`` (the
+        incremental path). Both are stated to the writer, whatever the session's
+        overwrite mode is.
+        """
+        if replace not in ("table", "partitions"):
+            raise ValueError("replace must be 'table' or 'partitions'")
         if partition_by:
             # one shuffle by the partition columns so each task writes few folders;
             # AQE splits a hot partition value over several tasks and merges small ones
             df = df.hint("rebalance", *partition_by)
-        w = df.write.mode(mode)
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace == "table" else "dynamic")
         if partition_by:
-            # replace only the partitions present in df
-            w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+            w = w.partitionBy(*partition_by)
         w.parquet(self.path(layer, name))
         return self.read(layer, name)
 
@@ -68,24 +76,29 @@ class Warehouse:
                     continue
                 self.spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
                 self.spark.catalog.createTable(f"{db}.{name}", path=self.path(layer, name), source="parquet")
-                try:
-                    # month / date partitions are registered from the folder names
+                if any(c.isPartition for c in self.spark.catalog.listColumns(f"{db}.{name}")):
+                    # month partitions are registered from the folder names
                     self.spark.sql(f"ALTER TABLE `{db}`.`{name}` RECOVER PARTITIONS")
-                except Exception:  # noqa: BLE001 - not a partitioned table
-                    pass
 
     def exists(self, layer: str, name: str) -> bool:
+        """Whether the table is stored. Only a missing or empty folder counts as absent; any other failure is raised."""
         try:
             self.spark.read.parquet(self.path(layer, name)).schema  # noqa: B018
             return True
-        except Exception:  # noqa: BLE001 - a missing folder raises AnalysisException
-            return False
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
     def truncate(self, layer: str, name: str) -> None:
-        """Empty a table and keep its schema."""
+        """Empty a table and keep its schema.
+
+        The one file left has no row and every column, the partition columns
+        among them; the next write of the table replaces it.
+        """
         df = self.spark.read.parquet(self.path(layer, name))
         empty = self.spark.createDataFrame([], df.schema)
-        empty.write.mode("overwrite").parquet(self.path(layer, name))
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(layer, name))
 
     def truncate_all(self, tables: dict[str, list[str]]) -> None:
         for layer, names in tables.items():
@@ -99,19 +112,13 @@ def append_member(df: DataFrame, row: tuple, schema: str) -> DataFrame:
     return df.unionByName(df.sparkSession.createDataFrame([row], schema))
 
 
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
-
-def export_csv(df: DataFrame, order: list[str], path: str, single_file: bool | str = "auto") -> None:
+def export_csv(df: DataFrame, order: list[str], path: str, single_file: bool = False) -> None:
     """Ordered CSV export of a mart.
 
-    One sorted file (sorted inside one task) when the mart has at most
-    ``SINGLE_FILE_MAX_ROWS`` rows (checked with ``limit(n + 1).count()`` under
-    ``"auto"``); otherwise the rows are range partitioned and sorted, and the part
-    files are in order by their names.
+    The rows are range partitioned and sorted: the part files are in order by
+    their names, whatever the size. ``single_file=True`` asks for one file
+    instead, sorted and written by one task.
     """
-    if single_file == "auto":
-        single_file = df.limit(SINGLE_FILE_MAX_ROWS + 1).count() <= SINGLE_FILE_MAX_ROWS
     cols = [F.col(c).asc_nulls_first() for c in order]
     out = df.coalesce(1).sortWithinPartitions(*cols) if single_file else df.orderBy(*cols)
     out.write.mode("overwrite").option("header", True).csv(path)

@@ -50,12 +50,3 @@ def test_null_key_spreading_keeps_the_join_result(spark):
     assert spread.columns == plain.columns
     assert rows(spread) == rows(plain)
     assert spread.filter(F.col("b").isNull() & F.col("dim_id").isNotNull()).count() == 0
-
-
-def test_auto_method_matches_window_and_switches_on_size(spark, monkeypatch):
-    import rentmart.operators.keys as K
-    df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("k"))
-    want = rows(dense_surrogate_key(df, ["k"], "id", method="window"))
-    assert rows(dense_surrogate_key(df, ["k"], "id", method="auto")) == want
-    monkeypatch.setattr(K, "SINGLE_TASK_MAX_ROWS", 100)      # now too big for one task: range path
-    assert rows(K.dense_surrogate_key(df, ["k"], "id", method="auto")) == want
