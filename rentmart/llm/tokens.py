@@ -4,8 +4,9 @@ A byte-level BPE never merges across the boundaries of its pre-tokeniser. Texts
 before a white-space byte that follows a visible character, before a comma, full stop or the like that follows an
 ASCII letter, and behind a lone line feed. Each distinct chunk is cut into pre-tokens and encoded by the library's BPE
 model once; the ids of a text are those of its chunks in order: the ids of the whole text in one library call
-(tests hold both against each other). Strings of special tokens are ordinary text. Vocabularies of other kinds
-are encoded text by text.
+(tests hold both against each other). The library takes an added token of the vocabulary (``<|endoftext|>``) out of a
+text before it cuts pre-tokens; a text that holds the string of one is encoded by the library whole. Vocabularies of
+other kinds are encoded text by text.
 """
 
 from __future__ import annotations
@@ -62,7 +63,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
         if self.lib.get_vocab_size() > 65_536:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         spec = json.loads(self.lib.to_str())
@@ -71,6 +71,7 @@ class Encoder:
             pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
             and not spec.get("normalizer") and spec["model"]["type"] == "BPE"
         )
+        self.added = [t["content"].encode() for t in spec.get("added_tokens") or []]
         self.model, self.split = self.lib.model, regex.compile(_PRE_TOKEN).findall
         self.alphabet = str.maketrans({chr(b): c for b, c in _byte_alphabet().items()})
         self.tokens: dict[str, bytes] = {}
@@ -109,13 +110,43 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return at, (self.keys[at] == keys) & (self.bytes_[at] == sizes)
 
+    def _by_library(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.lib.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+        return np.array([i for f in found for i in f], np.uint16), np.array([len(f) for f in found], np.int64)
+
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The numbers of the texts that hold the string of an added token."""
+        raw, found = data.tobytes(), set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                inside = at + len(token) <= offsets[text + 1]
+                if inside:
+                    found.add(text)
+                at = raw.find(token, int(offsets[text + 1]) if inside else at + 1)
+        return np.array(sorted(found), np.int64)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.plain:
-            found = [e.ids for e in self.lib.encode_batch([x or "" for x in column.to_pylist()], add_special_tokens=False)]
-            return np.array([i for f in found for i in f], np.uint16), np.array([len(f) for f in found], np.int64)
+            return self._by_library(column.to_pylist())
         data, offsets = flat(column)
+        whole = self._with_added(data, offsets)
+        if not len(whole):
+            return self._by_chunks(data, offsets)
+        own = np.zeros(len(column), bool)
+        own[whole] = True
+        ids, n = self._by_chunks(*flat(column.filter(pa.array(~own))))
+        more, m = self._by_library(column.take(pa.array(whole)).to_pylist())
+        sizes = np.zeros(len(column), np.int64)
+        sizes[~own], sizes[own] = n, m
+        out, there = np.empty(len(ids) + len(more), np.uint16), np.repeat(own, sizes)
+        out[~there], out[there] = ids, more
+        return out, sizes
+
+    def _by_chunks(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
-            return np.zeros(0, np.uint16), np.zeros(len(column), np.int64)
+            return np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
         starts = _chunk_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         keys, first, which = np.unique(span_hash(data, starts, ends), return_index=True, return_inverse=True)
