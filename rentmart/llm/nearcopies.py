@@ -9,13 +9,15 @@ Then the members of every short list that still lie in different components are
 that a family which its heads joined is not compared all with all.
 
 Two sets with Jaccard J share none of their ``LEADS`` smallest union values with probability (1 - J)^LEADS: 3e-6 at 0.8.
-Members of long lists that have fewer short lists than that are in the end compared with all members of other
-components of their long lists, so nothing is lost there; a family that the heads already joined gives no such pair.
+The first value they share is one of the first ``LEADS`` of both. If its list is short, they meet there; if it is long,
+they are compared in the end, as all members of a long list with such a value are with those of other components,
+whatever short lists they have besides. A family that the heads already joined gives no such pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,8 @@ from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash,
 K, LEADS, LOOK, LIST = 64, 8, 32, 64
 #: sets up to this size are compared in full where members of long lists meet
 FULL = 256
-#: an estimate this far below the threshold ends a pair (four standard deviations of a sketch)
-MARGIN = 0.2
+#: an estimate this far below the threshold ends a pair (six standard deviations of a sketch)
+MARGIN = 0.3
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -81,7 +83,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
 def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(a, b), a < b: pairs of classes with heads of their inverted lists; the short lists (value, members); and the members
-    of long lists (value, doc, n, covered: by ``LEADS`` short lists). ``classes``: doc, n, lead, copies. Heads of a long list are its first, its smallest and its largest
+    of long lists (value, doc, n, rank) by their first ``LEADS`` values. ``classes``: doc, n, lead, copies. Heads of a long list are its first, its smallest and its largest
     member, one by hash, and the one with the most equal copies, as families grow around what is copied most."""
     entries = classes.select("doc", "n", "copies", F.posexplode("lead").alias("rank", "value"))
     early = entries.filter(F.col("rank") < LEADS)
@@ -89,16 +91,14 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     long_ = cut_lineage(entries.groupBy("value").agg(
         F.count("*").alias("members"), F.min(here).alias("h0"), F.min_by(here, F.xxhash64("doc", "value")).alias("h1"),
         F.min_by(here, F.struct("n", "doc")).alias("h2"), F.max_by(here, F.struct("n", "doc")).alias("h3"),
-        F.max_by(here, F.struct("copies", -F.col("doc"))).alias("h4"),
+        F.max_by(here, F.struct("copies", F.bitwise_not("doc"))).alias("h4"),
     ).filter(F.col("members") > LIST))
     heads = F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3", "h4")))
     hot = early.join(long_, "value").select("doc", "n", heads.alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
     # short lists: the first LEADS short values of each class
     short = entries.join(long_.select("value"), "value", "left_anti")
     lists = cut_lineage(short.groupBy("doc", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "value"))), 1, LEADS).alias("lead")))
-    covered = lists.filter(F.size("lead") >= LEADS).select("doc")
-    common = early.join(long_.select("value"), "value", "left_semi").join(covered.withColumn("covered", F.lit(True)), "doc", "left")
-    common = cut_lineage(common.select("value", "doc", "n", F.coalesce("covered", F.lit(False)).alias("covered")))
+    common = cut_lineage(early.join(long_.select("value"), "value", "left_semi").select("value", "doc", "n", "rank"))
     lists = lists.select("doc", "n", F.explode("lead").alias("e")).groupBy("e.value").agg(F.collect_list(F.struct("doc", "n")).alias("members"))
     lists = cut_lineage(lists.filter(F.size("members") > 1))
     drawn = F.element_at("members", (F.pmod(F.xxhash64("value"), F.size("members")) + 1).cast("int"))
@@ -157,14 +157,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
 
 def _whole(open_: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(doc, n, whole): the shingles of each document of ``open_`` that has at most ``FULL`` and is one row."""
+    """(doc, n, whole): the shingles of each document of ``open_`` that is one row; its sketch if they are more than ``FULL``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
                 yield pa.RecordBatch.from_pydict({
                     "doc": part.column("doc"), "n": pa.array([len(x) for x in sets], pa.int64()),
-                    "whole": pa.array([x.view(np.int64) if len(x) <= FULL else None for x in sets], pa.list_(pa.int64())),
+                    "whole": pa.array([(x if len(x) <= FULL else x[:K]).view(np.int64) for x in sets], pa.list_(pa.int64())),
                 })
 
     rows = texts.join(open_.select("doc").distinct(), "doc", "left_semi").mapInArrow(run, "doc long, n long, whole array<long>")
@@ -172,20 +172,25 @@ def _whole(open_: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def _rest(common: DataFrame, found: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): in every long list, the members without enough short lists against all members of other components.
+    """(a, b): in every long list, its members against all members of other components.
 
-    Sets of at most ``FULL`` shingles are compared in full where they meet, so that only links go on; where one of
-    two sets is larger, the pair goes on by its sizes.
+    Pairs are made where the list's value can be the first one that both share, among the ``LEADS`` smallest of their
+    union. Sets of at most ``FULL`` shingles are compared in full where they meet, so that only links go on; where one of
+    two sets is larger, the sketches rule out what the estimate would.
     """
     part = found.withColumnRenamed("node", "doc")
     m = common.join(part, "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
-    open_ = m.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(~F.col("covered")).alias("any")).filter("lo != hi and any")
+    open_ = m.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi")
     m = cut_lineage(m.join(open_.select("value"), "value", "left_semi"))
     m = m.join(_whole(m, texts, size), ["doc", "n"], "left")
-    x = m.filter(~F.col("covered")).select("value", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"), F.col("whole").alias("wx"))
-    alike = f"100 * least(n, nx) >= {percent} * greatest(n, nx) and (whole is null or wx is null or {100 + percent} * size(array_intersect(whole, wx)) >= {percent} * (n + nx))"
-    both = x.join(m, (x["value"] == m["value"]) & F.expr("px != part") & F.expr(alike))
-    return both.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct()
+    x = m.select("value", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("rank").alias("rx"), F.col("part").alias("px"), F.col("whole").alias("wx"))
+    near = f"x < doc and px != part and rx + rank < {LEADS} and 100 * least(n, nx) >= {percent} * greatest(n, nx)"
+    alike = (
+        f"case when whole is null or wx is null then true when greatest(n, nx) <= {FULL} then {100 + percent} * size(array_intersect(whole, wx)) >= {percent} * (n + nx) "
+        f"else size(array_intersect(slice(whole, 1, {K}), slice(wx, 1, {K}))) >= {ceil(K * (percent / 100 - MARGIN) - 1e-9)} end"
+    )
+    both = x.join(m, (x["value"] == m["value"]) & F.expr(near) & F.expr(alike))
+    return both.select(F.col("x").alias("a"), F.col("doc").alias("b")).distinct()
 
 
 def _linked(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -210,7 +215,7 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     classes = cut_lineage(full.groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead"), F.count("*").alias("copies")))
     candidates, lists, common = _candidates(classes.select("doc", "n", "lead", "copies"), percent)
     pairs = cut_lineage(_estimated(candidates, classes, percent))
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", -F.col("a"))).alias("a")).select("a", "b")
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", F.bitwise_not("a"))).alias("a")).select("a", "b")
     first = cut_lineage(_confirmed(best, d, size, percent))
     found = cut_lineage(components(first))
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
