@@ -15,15 +15,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentmart.llm.common import pick, schema_of, small_batches
 from rentmart.llm.textarrays import mix, slices
 
 DIMS = 1 << 14
-#: bound of the training sample, the rows with the smallest hash of their id; labels beyond this many are not learned
-SAMPLE, LABELS = 3_000, 200
+#: bound of the training sample, the rows with the smallest hash of their id (one row of each label at least); parts that
+#: a label's rows are ranked in
+SAMPLE, PARTS = 3_000, 64
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 #: code points of a text that are hashed at once: memory stays level for texts of any length
@@ -54,7 +55,9 @@ class Model:
     temperature: float
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        cols, counts = features(text)
+        return self.weighted(*features(text))
+
+    def weighted(self, cols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = (1 + np.log(counts)) * self.idf[cols]
         size = np.sqrt((x * x).sum())
         return np.append(cols, DIMS), np.append(x / size if size else x, 1.0)
@@ -76,17 +79,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def fit_rows(texts: list[str], langs: list[str], epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05) -> Model:
-    """Fits a model on rows in the given order; every fifth one is kept for the temperature."""
+def fit_rows(counted: list[tuple[np.ndarray, np.ndarray]], langs: list[str], idf: np.ndarray, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05) -> Model:
+    """Fits a model on the ``features`` of rows in the given order; every fifth one is kept for the temperature."""
     labels = sorted(set(langs))
-    model = Model(labels, np.ones(DIMS), np.zeros((len(labels), DIMS + 1)), 1.0)
+    model = Model(labels, idf, np.zeros((len(labels), DIMS + 1)), 1.0)
     if not labels:
         return model
-    df = np.zeros(DIMS)
-    for t in texts:
-        df[features(t)[0]] += 1
-    model.idf = np.log((1 + len(texts)) / (1 + df)) + 1
-    rows = [(*model.vector(t), labels.index(y)) for t, y in zip(texts, langs, strict=True)]
+    number = {y: i for i, y in enumerate(labels)}
+    rows = [(*model.weighted(*c), number[y]) for c, y in zip(counted, langs, strict=True)]
     held = rows[4::5] if len(rows) >= 20 else rows
     train = [r for i, r in enumerate(rows) if i % 5 != 4] if len(rows) >= 20 else rows
     z, n, w = np.zeros_like(model.weights), np.zeros_like(model.weights), model.weights
@@ -111,22 +111,58 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+    """idf of each column over all documents with a text: each task sums its own, at most ``DIMS`` rows reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(DIMS + 1, np.int64)  # the last one counts the documents
+        for batch in batches:
+            for t in batch.column("text"):
+                df[features(t.as_py())[0]] += 1
+                df[DIMS] += 1
+        cols = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"col": pa.array(cols, pa.int64()), "df": pa.array(df[cols], pa.int64())})
+
+    parts = pick(docs, "text").filter("text is not null").mapInArrow(run, "col long, df long")
+    df = np.zeros(DIMS + 1)
+    for r in parts.groupBy("col").agg(F.sum("df").alias("df")).collect():
+        df[r["col"]] = r["df"]
+    return np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns from text and lang of the rows whose id does not fall into the held-out fold.
 
-    The ``sample`` labelled rows with the smallest hash of their id are taken, an equal number for each label at most.
+    The ``sample`` labelled rows with the smallest hash of their id are taken, an equal number for each label at most and
+    one at least. The idf is that of all documents. Only hashed counts reach the driver, no text.
     """
+    small_batches(docs.sparkSession)
     rows = pick(docs, "doc_id", "text", "lang").filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     key = F.xxhash64(F.col("doc_id"), F.lit("langid"))
-    labels = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS).collect()]
-    share = max(1, sample // max(1, len(labels)))
-    got = []
-    if labels:
-        picked = [rows.filter(F.col("lang") == v).select("lang", "text", key.alias("_key"), F.xxhash64("text").alias("_t")).orderBy("_key", "_t").limit(share) for v in labels]
-        for part in picked:  # bounded: ``sample`` rows altogether
-            got += part.collect()
-    got.sort(key=lambda r: (r["_key"], r["_t"], r["lang"]))
-    return fit_rows([r["text"] for r in got], [r["lang"] for r in got])
+    share = max(1, sample // max(1, rows.select("lang").distinct().count()))
+    narrow = rows.select("lang", key.alias("_key"), F.xxhash64("text").alias("_t"))
+    # ranked in parts first, so that the rows of a frequent label do not meet in one task
+    for by in (["lang", F.pmod(F.xxhash64("_key", "_t"), F.lit(PARTS))], ["lang"]):
+        order = Window.partitionBy(*by).orderBy("_key", "_t")
+        narrow = narrow.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= share).drop("_rank")
+    taken = narrow.groupBy("lang", "_key", "_t").agg(F.count("*").alias("_n"))
+    texts = rows.withColumns({"_key": key, "_t": F.xxhash64("text")}).join(F.broadcast(taken), ["lang", "_key", "_t"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                got = [features(t.as_py()) for t in part.column("text")]
+                yield pa.RecordBatch.from_pydict({
+                    **{c: part.column(c) for c in ("lang", "_key", "_t", "_n")},
+                    "cols": pa.array([g[0].astype("<i4").tobytes() for g in got], pa.binary()),
+                    "counts": pa.array([g[1].astype("<i8").tobytes() for g in got], pa.binary()),
+                })
+
+    counted = texts.select("lang", "_key", "_t", "_n", "text").mapInArrow(run, "lang string, _key long, _t long, _n long, cols binary, counts binary")
+    # rows of equal id and text are alike: as many as were taken
+    alike = counted.groupBy("lang", "_key", "_t", "_n").agg(F.first("cols").alias("cols"), F.first("counts").alias("counts"))
+    got = sorted((r for r in alike.collect() for _ in range(r["_n"])), key=lambda r: (r["_key"], r["_t"], r["lang"]))
+    vectors = [(np.frombuffer(r["cols"], "<i4").astype(np.int64), np.frombuffer(r["counts"], "<i8")) for r in got]
+    return fit_rows(vectors, [r["lang"] for r in got], inverse_frequencies(docs) if got else np.ones(DIMS))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
