@@ -3,7 +3,7 @@
 Characters are lower-cased code points; n-grams of 1 to 3 are hashed to ``DIMS`` columns, weighted by 1 + log(tf) times
 idf and scaled to length 1. Weights are learned by follow-the-regularised-leader with per-coordinate steps and an
 elastic-net penalty (L1 and L2), so most of them are zero. A temperature fitted on rows kept out of the training
-then calibrates the probabilities. The model has a fixed size whatever the corpus; prediction is one pass over whole
+then calibrates the probabilities. The size of the model follows the labels, not the corpus; prediction is one pass over whole
 texts without a shuffle.
 """
 
@@ -175,7 +175,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     cols = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col("text"), held_out().alias("held_out"))
     d = d.select("_row", "text", "held_out")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x labels weights: fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x labels weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
