@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,10 +13,3 @@ def spark():
                                      "spark.driver.memory": "4g"})
     yield s
     s.stop()
-
-
-def rows(df, cols=None):
-    """Rows as sorted tuples of plain values (order-insensitive comparison)."""
-    cols = cols or df.columns
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from rentmart.operators.keys import dense_surrogate_key
 from rentmart.plans import dims as D
 from rentmart.sources import testmap
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 
 
 def test_range_equals_window_on_listing_tuples(spark):

@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tools.oracle_check import compare, duck
 
 NAMES = sorted(E.queries())

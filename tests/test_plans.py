@@ -9,7 +9,7 @@ from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
 from rentmart.sources import testmap
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def plan(df) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rentmart.functions import expr as X
 from rentmart.operators.keys import dense_surrogate_key
 from rentmart.plans import marts as M
-from conftest import rows
+from helpers import rows
 
 SCHEMA = ("g string, year_month date, host_orig_id long, host_is_superhost boolean, "
           "has_availability boolean, price long, stays long, revenue long, review_scores_rating long")

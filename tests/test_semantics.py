@@ -11,7 +11,7 @@ from rentmart.plans import marts as M
 from rentmart.plans.pipeline import run_pipeline
 from rentmart.sources import csv_feed
 from fixtures import write_fixture
-from conftest import rows
+from helpers import rows
 
 JAN, FEB, MAR = dt.date(2020, 1, 1), dt.date(2020, 2, 1), dt.date(2020, 3, 1)
 
