@@ -82,9 +82,22 @@ def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir)).drop("text")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.secretscan import secrets
+
+    return secrets(_documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.spelling import spelling_variants
+
+    return spelling_variants(_documents(spark, sf_dir))
+
+
 _ALL = (
     op1_pack_curve, op2_path_tree, op3_language_id, op4_near_vectors, op5_scaled_fingerprints, op6_line_dedup,
     op7_bottom_k, op8_mix_sources, op9_recompression, op10_token_records,
+    op11_secret_scan, op12_spelling_variants,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = dict(SQL)
