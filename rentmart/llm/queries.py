@@ -94,10 +94,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_documents(spark, sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rentmart.llm.prefixtrie import prefix_trie
+
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 _ALL = (
     op1_pack_curve, op2_path_tree, op3_language_id, op4_near_vectors, op5_scaled_fingerprints, op6_line_dedup,
     op7_bottom_k, op8_mix_sources, op9_recompression, op10_token_records,
-    op11_secret_scan, op12_spelling_variants,
+    op11_secret_scan, op12_spelling_variants, op13_prefix_trie,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = dict(SQL)
