@@ -22,9 +22,10 @@ from rentmart.llm.common import pick, schema_of, small_batches
 from rentmart.llm.textarrays import mix, slices
 
 DIMS = 1 << 14
-#: bound of the training sample, the rows with the smallest hash of their id (one row of each label at least); parts that
-#: a label's rows are ranked in
-SAMPLE, PARTS = 3_000, 64
+#: bound of the training sample, the rows with the smallest hash of their id (one row of each label at least)
+SAMPLE = 3_000
+#: bits of that hash that a label's rows are counted by, to find where its share ends
+_COUNTED = 12
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 #: code points of a text that are hashed at once: memory stays level for texts of any length
@@ -112,7 +113,7 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """idf of each column over all documents with a text: each task sums its own, at most ``DIMS`` rows reach the driver."""
+    """idf of each column over all texts that are not held out: each task sums its own, at most ``DIMS`` rows reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(DIMS + 1, np.int64)  # the last one counts the documents
         for batch in batches:
@@ -122,7 +123,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
         cols = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"col": pa.array(cols, pa.int64()), "df": pa.array(df[cols], pa.int64())})
 
-    parts = pick(docs, "text").filter("text is not null").mapInArrow(run, "col long, df long")
+    learned = pick(docs, "doc_id", "text").filter(~held_out() & F.col("text").isNotNull()).select("text")
+    parts = learned.mapInArrow(run, "col long, df long")
     df = np.zeros(DIMS + 1)
     for r in parts.groupBy("col").agg(F.sum("df").alias("df")).collect():
         df[r["col"]] = r["df"]
@@ -133,17 +135,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns from text and lang of the rows whose id does not fall into the held-out fold.
 
     The ``sample`` labelled rows with the smallest hash of their id are taken, an equal number for each label at most and
-    one at least. The idf is that of all documents. Only hashed counts reach the driver, no text.
+    one at least. The idf is that of all texts outside the held-out fold. Only hashed counts reach the driver, no text.
     """
     small_batches(docs.sparkSession)
     rows = pick(docs, "doc_id", "text", "lang").filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     key = F.xxhash64(F.col("doc_id"), F.lit("langid"))
     share = max(1, sample // max(1, rows.select("lang").distinct().count()))
     narrow = rows.select("lang", key.alias("_key"), F.xxhash64("text").alias("_t"))
-    # ranked in parts first, so that the rows of a frequent label do not meet in one task
-    for by in (["lang", F.pmod(F.xxhash64("_key", "_t"), F.lit(PARTS))], ["lang"]):
-        order = Window.partitionBy(*by).orderBy("_key", "_t")
-        narrow = narrow.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= share).drop("_rank")
+    # where each label's share ends, by counts of the leading bits: only these rows of a frequent label are ranked
+    narrow = narrow.withColumn("_lead", F.shiftright("_key", 64 - _COUNTED))
+    upto = F.sum("_n").over(Window.partitionBy("lang").orderBy("_lead"))
+    counts = narrow.groupBy("lang", "_lead").agg(F.count("*").alias("_n")).withColumn("_upto", upto - F.col("_n"))
+    last = counts.filter(F.col("_upto") < share).groupBy("lang").agg(F.max("_lead").alias("_last"))
+    narrow = narrow.join(last, "lang").filter(F.col("_lead") <= F.col("_last")).select("lang", "_key", "_t")
+    order = Window.partitionBy("lang").orderBy("_key", "_t")
+    narrow = narrow.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= share).drop("_rank")
     taken = narrow.groupBy("lang", "_key", "_t").agg(F.count("*").alias("_n"))
     texts = rows.withColumns({"_key": key, "_t": F.xxhash64("text")}).join(F.broadcast(taken), ["lang", "_key", "_t"])
 

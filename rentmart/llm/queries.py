@@ -42,7 +42,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rentmart.llm.lines import dedup_lines
 
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256", "keep_bitmap")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
