@@ -359,11 +359,12 @@ def prefix_trie(conversations: DataFrame, limit: int = LIMIT) -> DataFrame:
     children = nodes.filter("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_children"))
     parents = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     nodes = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    nodes = cut_lineage(nodes.join(parents, "parent", "left"))
+    # stored with the rest: as a constant the top would make joins by it products
+    nodes = cut_lineage(nodes.join(parents, "parent", "left").withColumn("top", F.lit(ROOT)))
     ends = members.filter(ended).select("node", "conv_id").unionByName(convs.filter("length = 0").select(F.lit(ROOT).alias("node"), "conv_id"))
     totals = subtree_sums(
         nodes.select(
-            "node", "parent", "depth", F.lit(ROOT).alias("top"), "weight", F.col("conv_id").alias("guide"),
+            "node", "parent", "depth", "top", "weight", F.col("conv_id").alias("guide"),
             (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"),
         ),
         members.select(F.col("conv_id").alias("guide"), "depth", "node", "parent"), ["n_leaves", "saved_tokens"], limit,
