@@ -9,7 +9,10 @@ to the shared checkpoint folder so partition contents and local positions stay
 fixed if a task is retried or an executor is lost.
 
 The only non-distributed step sums one count per range (as many rows as there
-are partitions), and that table is what gets broadcast.
+are partitions), and that table is what gets broadcast. The number of ranges
+follows the bytes Spark expects of the input (file sizes of stored tables), and
+``numbered`` also tells how many rows got an id, so that a later append can go on
+from there without looking at the ids.
 """
 
 from __future__ import annotations
@@ -20,6 +23,21 @@ from pyspark.sql import functions as F
 from rentmart.session import ensure_checkpoint_dir
 
 _PID, _POS, _N, _OFF = "__range_id", "__pos", "__range_rows", "__range_offset"
+#: input bytes of a range, and the most ranges of one numbering
+RANGE_BYTES, MOST_RANGES = 128 << 20, 100_000
+
+
+def range_count(df: DataFrame) -> int:
+    """Ranges for ``df`` by the bytes of the tables it reads; the shuffle width where Spark does not know them.
+
+    The estimate of the whole plan would not do: without column statistics a join counts as the product of its sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= 1 << 62:     # unknown
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_RANGES, max(1, -(-size // RANGE_BYTES)))
+
 
 def _order(cols: list[str]) -> list[Column]:
     # ascending, NULLs first: Spark's default, spelled out so oracles can match it
@@ -44,17 +62,32 @@ def dense_surrogate_key(df: DataFrame, order_cols: list[str], id_col: str,
     if method != "range":
         raise ValueError(f"unknown method {method!r}")
 
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out, counts = _ranged(df, order_cols, num_ranges)
+    return _with_ids(out, counts, start_col, id_col)
+
+
+def numbered(df: DataFrame, order_cols: list[str], id_col: str, num_ranges: int | None = None,
+             start: int = 1) -> tuple[DataFrame, int]:
+    """``dense_surrogate_key`` by ranges, and the number of rows it numbered (a sum over one row per range)."""
+    out, counts = _ranged(df, order_cols, num_ranges)
+    n = counts.agg(F.coalesce(F.sum(_N), F.lit(0))).first()[0]
+    return _with_ids(out, counts, F.lit(start), id_col), int(n)
+
+
+def _ranged(df: DataFrame, order_cols: list[str], num_ranges: int | None) -> tuple[DataFrame, DataFrame]:
+    """The rows in sorted ranges, checkpointed, with their range and place; and the rows of each range."""
+    ensure_checkpoint_dir(df.sparkSession)
+    n = num_ranges or range_count(df)
     ranged = (df.repartitionByRange(n, *_order(order_cols))
               .sortWithinPartitions(*_order(order_cols))
               .withColumn(_PID, F.spark_partition_id())
               # position inside the range: the low 33 bits of the monotonic id
               .withColumn(_POS, F.monotonically_increasing_id() - (F.col(_PID).cast("bigint") * (1 << 33))))
     ranged = ranged.checkpoint(eager=True)
+    return ranged, ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+
 
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+def _with_ids(ranged: DataFrame, counts: DataFrame, start_col: Column, id_col: str) -> DataFrame:
     offsets = counts.select(
         _PID,
         F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),

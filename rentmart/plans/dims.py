@@ -95,6 +95,25 @@ def dim_date(listings: DataFrame) -> DataFrame:
     return keyed.select("date_id", "year_month")
 
 
+#: rows of a bucket of a dimension that a rebuild stores; buckets of one that starts with a refresh, of unknown size
+BUCKET_ROWS, FIRST_BUCKETS = 2_000_000, 16
+BUCKET = "bucket"
+#: the large dimensions: key, tuple, and the natural key whose hash deals the tuples into buckets
+LARGE = {"dim_host": ("hosts_id", HOST_TUPLE, "host_orig_id"), "dim_listing": ("listing_id", LISTING_TUPLE, "list_orig_id")}
+
+#: where the listings hold that natural key
+FEED_KEY = {"dim_host": "host_id", "dim_listing": "listing_id"}
+
+
+def in_buckets(dim: DataFrame, name: str, buckets: int, key: str | None = None) -> DataFrame:
+    """``dim`` (or rows with the natural key in ``key``) with the bucket of each row.
+
+    All tuples of one host or listing share a bucket, so a batch finds out which of its tuples are new, and which ids
+    they have, in the buckets of its own hosts and listings alone.
+    """
+    return dim.withColumn(BUCKET, F.pmod(F.xxhash64(key or LARGE[name][2]), F.lit(buckets)).cast("int"))
+
+
 def build_dims(staging: dict[str, DataFrame], key_method: str = "range") -> dict[str, DataFrame]:
     """All dimensions from the staging feeds; ``listings`` is the warehouse listings."""
     listings = load_listings(staging["listings"])

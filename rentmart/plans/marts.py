@@ -42,13 +42,8 @@ def _histogram(star: DataFrame, g: list[str]) -> DataFrame:
     return star.filter(active()).groupBy(*g, F.col("price").alias("__price")).agg(F.count(F.lit(1)).alias("__freq"))
 
 
-def _kpi_sums_exact(star: DataFrame, g: list[str], median: bool) -> DataFrame:
-    """Host level, then group level: exact distinct host and superhost counts.
-
-    With ``median`` the price histogram's rows join the host-level rows in the
-    one group-level aggregate: they carry a price and its frequency, and NULL in
-    every other column, which sums, extremes and counts of columns skip.
-    """
+def _kpi_sums_exact(star: DataFrame, g: list[str]) -> DataFrame:
+    """Host level, then group level: exact distinct host and superhost counts, as a hash aggregate."""
     per_host = star.groupBy(*g, "host_orig_id").agg(
         count_if(active()).alias("n_active"),
         count_if(inactive()).alias("n_inactive"),
@@ -61,12 +56,7 @@ def _kpi_sums_exact(star: DataFrame, g: list[str], median: bool) -> DataFrame:
         sum_if(active(), "stays").alias("total_number_of_stays"),
         F.sum("revenue").alias("sum_revenue"),
         F.max("host_is_superhost").alias("is_superhost"))
-    exact = []
-    if median:
-        per_host = per_host.unionByName(_histogram(star, g), allowMissingColumns=True)
-        exact = [F.percentile("__price", 0.5, F.col("__freq")).cast("double").alias("median_price_act")]
     return per_host.groupBy(*g).agg(
-        *exact,
         F.sum("n_active").alias("n_active"),
         F.sum("n_inactive").alias("n_inactive"),
         F.sum("n_known").alias("n_known"),
@@ -114,9 +104,9 @@ def listing_kpi_base(star: DataFrame, keys: list[str], median: str = "exact",
 
     The exact median comes from a price histogram of the active rows,
     ``percentile(price, 0.5, frequency)``, which holds at most one entry per
-    distinct price of a group. Its rows are united with the host-level rows, so
-    that step 2 is the only aggregate by group and nothing is joined back.
-    ``median="approx"`` uses
+    distinct price of a group. It has an aggregate of its own, so that step 2 stays
+    a hash aggregate over all host-level rows; the two results, one row per group
+    each, meet in a last small aggregate. ``median="approx"`` uses
     ``percentile_approx`` over the active rows instead, as the warehouse did.
     ``distinct="approx"`` counts hosts and superhosts with HyperLogLog++ sketches
     in a single aggregate: no host-level shuffle, ~5% relative error. It pays off
@@ -131,9 +121,7 @@ def listing_kpi_base(star: DataFrame, keys: list[str], median: str = "exact",
     out = [*g, "n_active", "n_inactive", "n_known", "n_rows", "min_price_act", "max_price_act",
            "median_price_act", "number_of_distinct_hosts", "n_superhosts", "avg_rev_score_act",
            "total_number_of_stays", "sum_revenue"]
-    if distinct == "exact" and median == "exact":
-        return _kpi_sums_exact(star, g, True).select(*out)
-    base = _kpi_sums_exact(star, g, False) if distinct == "exact" else _kpi_sums_approx(star, g)
+    base = _kpi_sums_exact(star, g) if distinct == "exact" else _kpi_sums_approx(star, g)
     if median == "exact":
         med = _histogram(star, g).groupBy(*g).agg(
             F.percentile("__price", 0.5, F.col("__freq")).cast("double").alias("median_price_act"))
@@ -203,6 +191,29 @@ def dm_host_neighbourhood(star: DataFrame, exact: bool = False, distinct: str =
                     "estimated_revenue", per_host.alias("estimated_revenue_per_host_distinct"))
 
 
+#: stands for the NULL month (rows without a date), which comes before all others
+NO_MONTH = "0001-01-01"
+
+
+def group_months(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group the months that ``rows`` (keys, year_month) hold of it, in order: as many as the calendar has."""
+    month = F.coalesce("year_month", F.lit(NO_MONTH).cast("date"))
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_set(month)).alias("months"))
+
+
+def merged_months(index: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The index with the months of ``rows`` added."""
+    both = index.unionByName(group_months(rows, keys))
+    return both.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("months")))).alias("months"))
+
+
+def month_steps(index: DataFrame) -> list[tuple]:
+    """Every (month, next present month) that some group has: at most the square of the calendar."""
+    pairs = F.arrays_zip(F.expr("slice(months, 1, size(months) - 1)").alias("a"), F.expr("slice(months, 2, size(months) - 1)").alias("b"))
+    found = index.filter(F.size("months") > 1).select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
+    return [tuple(r) for r in found.collect()]
+
+
 #: the marts kept as one aggregate table by group and month, from which their KPIs follow
 LISTING_MARTS = {"dm_listing_neighbourhood": ["listing_neighbourhood"], "dm_property_type": PROPERTY_KEYS}
 

@@ -22,9 +22,12 @@ from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
 from rentmart.plans.marts import active
-from rentmart.plans.pipeline import run_pipeline
+from rentmart.plans import sketches as SK
+from rentmart.plans.pipeline import register_catalog, run_pipeline, truncate_all, write_dim
 from rentmart.session import scratch_path
+from rentmart import schemas
 from rentmart.sources import csv_feed, testmap
+from rentmart.sources.tables import Warehouse, export_csv, read_export
 from rentmart.streaming.incremental import IncrementalMarts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +72,14 @@ def _dims(spark, sf_dir) -> dict[str, DataFrame]:
 
 # ---- sources / projections -------------------------------------------------------
 
+@register("parse_date")
+def q_parse_date(spark, sf_dir):
+    """The warehouse's month floor in two steps: the date as 'yyyy-MM' text, and that text as a date."""
+    li = testmap.listings(spark, sf_dir)
+    return li.select("listing_id", "host_id", "scraped_date", X.parse_date(X.month_text("scraped_date"), "yyyy-MM").alias("year_month"),
+                     X.parse_date("host_since").alias("host_since_date"))
+
+
 @register("month_floor")
 def q_month_floor(spark, sf_dir):
     li = testmap.listings(spark, sf_dir)
@@ -77,12 +88,15 @@ def q_month_floor(spark, sf_dir):
                      X.month_text("scraped_date").alias("year_month_text"))
 
 
-def _write_feeds(spark, sf_dir, root: str) -> dict[str, str]:
-    """Write the five mapped feeds as CSV folders under ``root``; returns their paths."""
+def _write_feeds(spark, sf_dir, root: str, listings=None) -> dict[str, str]:
+    """Write the five mapped feeds as CSV folders under ``root`` (of the listings those that meet a condition);
+    returns their paths."""
     paths = {}
     for name, df in _staging(spark, sf_dir).items():
-        paths[name] = f"{root}/{name}"
+        paths[name] = f"{root}/{name}" if listings is None or name != "listings" else f"{root}/{name}/first"
+        df = df if listings is None or name != "listings" else df.filter(listings)
         csv_feed.write_feed(df, name, paths[name], salt=F.xxhash64(*df.columns[:3]))
+        paths[name] = f"{root}/{name}"
     return paths
 
 
@@ -131,6 +145,124 @@ def q_incremental_marts(spark, sf_dir):
     return inc.mart("dm_listing_neighbourhood")
 
 
+def _salt():
+    return F.xxhash64("host_id", "listing_id", "scraped_date")
+
+
+def _rebuild_and_refresh(spark, sf_dir, name: str) -> IncrementalMarts:
+    """A rebuild from CSV feeds that hold the listings before 1998; then two more files, the later months first, each
+    taken by a refresh that registers nothing but them."""
+    root = scratch_path(spark, name)
+    st = _staging(spark, sf_dir)
+    first, second = (F.lit(x).cast("date") for x in ("1998-01-01", "1998-03-15"))
+    d = F.col("scraped_date")
+    feeds = _write_feeds(spark, sf_dir, f"{root}/feeds", d < first)
+    run_pipeline(spark, f"{root}/warehouse", feed_dirs=feeds)
+    inc = IncrementalMarts(spark, feeds["listings"], f"{root}/warehouse")
+    for i, cond in enumerate([d >= second, (d >= first) & (d < second)]):
+        csv_feed.write_feed(st["listings"].filter(cond), "listings", f"{feeds['listings']}/drop_{i}", salt=_salt())
+        inc.run_once()
+    return inc
+
+
+@register("rebuild_then_refresh")
+def q_rebuild_then_refresh(spark, sf_dir):
+    """M2 after a rebuild and two refreshes equals M2 of all listings."""
+    return _rebuild_and_refresh(spark, sf_dir, "rebuild-refresh").mart("dm_property_type")
+
+
+@register("refreshed_fact")
+def q_refreshed_fact(spark, sf_dir):
+    """The fact after a rebuild and two refreshes, joined back to its dimensions: the star by its natural keys."""
+    wh = _rebuild_and_refresh(spark, sf_dir, "refreshed-fact").wh
+    return FT.star_view(wh.read("warehouse", "fact"), {n: wh.read("warehouse", n) for n in
+                                                       ["dim_lga", "dim_suburb", "dim_host", "dim_listing", "dim_date"]})
+
+
+@register("rebuild_replaces_months")
+def q_rebuild_replaces_months(spark, sf_dir):
+    """A rebuild over fewer months leaves nothing of the months it lacks: M1 of the second rebuild."""
+    root = scratch_path(spark, "replace")
+    st = _staging(spark, sf_dir)
+    run_pipeline(spark, root, staging=st)
+    less = {**st, "listings": st["listings"].filter(F.col("scraped_date") < F.lit("1996-01-01").cast("date"))}
+    return run_pipeline(spark, root, staging=less)["dm_listing_neighbourhood"]
+
+
+@register("truncate_then_refresh")
+def q_truncate_then_refresh(spark, sf_dir):
+    """After truncate, a refresh loads every file again: M3 of all listings."""
+    root = scratch_path(spark, "truncate-refresh")
+    feeds = _write_feeds(spark, sf_dir, f"{root}/feeds")
+    run_pipeline(spark, f"{root}/warehouse", feed_dirs=feeds)
+    truncate_all(spark, f"{root}/warehouse")
+    inc = IncrementalMarts(spark, feeds["listings"], f"{root}/warehouse")
+    inc.bootstrap({n: csv_feed.read_feed(spark, p, n) for n, p in feeds.items() if n != "listings"})
+    inc.run_once()
+    return inc.mart("dm_host_neighbourhood")
+
+
+@register("truncate_layers")
+def q_truncate_layers(spark, sf_dir):
+    """Rows of every warehouse table before and after truncate (S9), and whether its columns are the same."""
+    root = scratch_path(spark, "truncate")
+    run_pipeline(spark, root, staging=_staging(spark, sf_dir))
+    names = ["census_1", "census_2", "lga_code", "lga_suburb", "listings", "dim_lga", "dim_suburb", "dim_host", "dim_listing",
+             "dim_date", "fact"]
+    wh = Warehouse(spark, root, register_views=False)
+
+    def counted():
+        return {n: wh.read("warehouse", n) for n in names}
+
+    before = counted()
+    truncate_all(spark, root)       # the tables read before are in folders of their own and stay
+    after = counted()
+    return Q.union_all([
+        before[n].agg(F.count(F.lit(1)).alias("rows_before")).crossJoin(after[n].agg(F.count(F.lit(1)).alias("rows_after")))
+        .select(F.lit(n).alias("table_name"), "rows_before", "rows_after",
+                F.lit(sorted(before[n].columns) == sorted(after[n].columns)).alias("same_columns")) for n in names])
+
+
+@register("catalog_layers")
+def q_catalog_layers(spark, sf_dir):
+    """One catalog database per layer (S11): M3 read back by its catalog name."""
+    root = scratch_path(spark, "catalog")
+    run_pipeline(spark, root, staging=_staging(spark, sf_dir))
+    prefix = f"rm_{root.rsplit('-', 1)[1]}_"
+    register_catalog(spark, root, prefix)
+    return spark.table(f"{prefix}datamart.dm_host_neighbourhood")
+
+
+@register("ordered_export")
+def q_ordered_export(spark, sf_dir):
+    """M3 exported in order as CSV (S10, O2) and read back, with each row's place in the files."""
+    path = scratch_path(spark, "export")
+    mart = M.dm_host_neighbourhood(_mart_input(spark, sf_dir), exact=True)
+    export_csv(mart, M.MART_ORDER["dm_host_neighbourhood"], path)
+    return read_export(spark, path, mart.schema.simpleString()[7:-1].replace(":", " "))
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, sf_dir):
+    """Listings written as CSV, one in 97 with a price that is no number, staged and rejected in one pass: per month and
+    outcome the rows, the sum of the prices, and the rejected rows that name their column and file."""
+    root = scratch_path(spark, "rejects")
+    li = testmap.listings(spark, sf_dir)
+    text = csv_feed.to_feed_text(li, "listings", F.xxhash64("host_id", "listing_id", "scraped_date"))
+    position = {name: pos for pos, name, _ in schemas.FEEDS["listings"]}
+    wrong = F.col(f"c{position['listing_id']}").cast("double") % 97 == 0
+    text = text.withColumn(f"c{position['price']}", F.when(wrong, F.lit("n/a")).otherwise(F.col(f"c{position['price']}")))
+    text.write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(f"{root}/feed")
+    staged, rejected = csv_feed.stage_feed(Warehouse(spark, f"{root}/wh", register_views=False), f"{root}/feed", "listings")
+    date = F.col("fields")[position["scraped_date"] - 1].cast("date")
+    told = (F.col("bad_columns") == F.array(F.lit("price"))) & F.col("source_file").endswith(".csv")
+    both = staged.select("scraped_date", "price", F.lit("staged").alias("outcome"), F.lit(0).alias("told")).unionByName(
+        rejected.select(date.alias("scraped_date"), F.lit(None).cast("bigint").alias("price"), F.lit("rejected").alias("outcome"),
+                        told.cast("int").alias("told")))
+    return both.groupBy(X.month_floor("scraped_date").alias("year_month"), "outcome").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("price").alias("sum_price"), F.sum("told").alias("n_told"))
+
+
 # ---- joins -----------------------------------------------------------------------
 
 @register("substr_prefix_join")
@@ -341,16 +473,28 @@ def q_check_unique(spark, sf_dir):
     ])
 
 
+def _stored_star(spark, sf_dir, name: str) -> dict[str, DataFrame]:
+    """The dimensions and the fact as a rebuild stores them, under the scratch folder."""
+    wh = Warehouse(spark, scratch_path(spark, name), register_views=False)
+    li = wh.write(_listings(spark, sf_dir), "warehouse", "listings")
+    st = {n: wh.write(df, "warehouse", n) for n, df in _staging(spark, sf_dir).items() if n != "listings"}
+    d = {"dim_lga": wh.write(D.dim_lga(st["census_1"], st["census_2"], st["lga_code"]), "warehouse", "dim_lga"),
+         "dim_date": wh.write(D.dim_date(li), "warehouse", "dim_date")}
+    d |= {n: write_dim(wh, n, li).drop(D.BUCKET) for n in D.LARGE}
+    d["dim_suburb"] = wh.write(D.dim_suburb(st["lga_suburb"], d["dim_lga"]), "warehouse", "dim_suburb")
+    d["fact"] = wh.write(FT.build_fact(li, d), "warehouse", "fact")
+    return d
+
+
 @register("check_foreign_key")
 def q_check_foreign_key(spark, sf_dir):
-    d = _dims(spark, sf_dir)
-    f = FT.build_fact(d["listings"], d)
-    return Q.union_all([
-        Q.check_foreign_key(f, "date_id", d["dim_date"], "date_id", "fk_dim_date"),
-        Q.check_foreign_key(f, "host_idf", d["dim_host"], "hosts_id", "fk_dim_host"),
-        Q.check_foreign_key(f, "listing_neigh_idf", d["dim_lga"], "lga_code_2016", "fk_dim_lga"),
-        Q.check_foreign_key(f, "listing_idf", d["dim_listing"], "listing_id", "fk_dim_listing"),
-        Q.check_foreign_key(f, "host_neighf", d["dim_suburb"], "suburb_id", "fk_dim_suburb"),
+    d = _stored_star(spark, sf_dir, "foreign-keys")
+    return Q.check_foreign_keys(d["fact"], [
+        ("date_id", d["dim_date"], "date_id", "fk_dim_date"),
+        ("host_idf", d["dim_host"], "hosts_id", "fk_dim_host"),
+        ("listing_neigh_idf", d["dim_lga"], "lga_code_2016", "fk_dim_lga"),
+        ("listing_idf", d["dim_listing"], "listing_id", "fk_dim_listing"),
+        ("host_neighf", d["dim_suburb"], "suburb_id", "fk_dim_suburb"),
     ])
 
 
@@ -388,11 +532,66 @@ def q_dm_host_neighbourhood(spark, sf_dir):
     return M.dm_host_neighbourhood(_mart_input(spark, sf_dir))
 
 
+@register("dm_host_neighbourhood_decimal")
+def q_dm_host_neighbourhood_decimal(spark, sf_dir):
+    """M3 with the exact quotient of six places, as it is exported."""
+    return M.dm_host_neighbourhood(_mart_input(spark, sf_dir), exact=True)
+
+
+def _bucketed(spark, sf_dir, name: str) -> DataFrame:
+    d = _stored_star(spark, sf_dir, name)
+    return FT.bucketed_star_view(FT.store_bucketed(spark, d["fact"], d, scratch_path(spark, name), f"{name.replace('-', '_')}_"))
+
+
+@register("dm_property_type_star")
+def q_dm_property_type_star(spark, sf_dir):
+    """M2 over the star whose fact and large dimensions are stored in buckets of their surrogate keys."""
+    return M.dm_property_type(_bucketed(spark, sf_dir, "star-m2"))
+
+
+@register("dm_host_neighbourhood_star")
+def q_dm_host_neighbourhood_star(spark, sf_dir):
+    """M3 over the bucketed star."""
+    return M.dm_host_neighbourhood(_bucketed(spark, sf_dir, "star-m3"))
+
+
+def _sketches(spark, sf_dir, name: str) -> DataFrame:
+    """The month sketches of M1, stored."""
+    wh = Warehouse(spark, scratch_path(spark, name), register_views=False)
+    return wh.write(SK.month_sketches(_mart_input(spark, sf_dir), M.LISTING_MARTS["dm_listing_neighbourhood"]), "warehouse",
+                    "dm_listing_neighbourhood_sketch", ["year_month"])
+
+
+@register("distinct_hosts_rollup")
+def q_distinct_hosts_rollup(spark, sf_dir):
+    """Distinct hosts and superhosts by neighbourhood over the last 12 months, from stored month sketches alone
+    (exact while a group has no more hosts than a sketch has entries)."""
+    return SK.rolled_up(_sketches(spark, sf_dir, "rollup-12"), ["listing_neighbourhood"], 12).select(
+        "listing_neighbourhood", "number_of_distinct_hosts", "number_of_superhosts", "super_host_rate")
+
+
+@register("median_price_rollup")
+def q_median_price_rollup(spark, sf_dir):
+    """The median price of active rows by neighbourhood over all months, from merged price sketches: how far its rank in
+    all the prices lies from the middle, and whether that is within the sketch's bound."""
+    star = _mart_input(spark, sf_dir)
+    median = SK.rolled_up(_sketches(spark, sf_dir, "rollup-median"), ["listing_neighbourhood"])
+    median = median.select("listing_neighbourhood", F.col("median_price_act").alias("m"))
+    prices = star.filter(active()).groupBy("listing_neighbourhood", "price").agg(F.count(F.lit(1)).alias("n"))
+    ranks = prices.join(median, prices.listing_neighbourhood.eqNullSafe(median.listing_neighbourhood)).groupBy(prices.listing_neighbourhood).agg(
+        F.sum("n").alias("n_active"), F.sum(F.when(F.col("price") < F.col("m"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("price") <= F.col("m"), F.col("n")).otherwise(0)).alias("upto"))
+    # the true median's rank lies between the two, give or take the bound
+    slack = F.ceil(F.col("n_active") * SK.RANK_ERROR) + 1
+    near = (F.col("below") - slack <= F.col("n_active") / 2) & (F.col("upto") + slack >= F.col("n_active") / 2)
+    return ranks.select("listing_neighbourhood", "n_active", near.alias("within_bound"))
+
+
 # ---- ad-hoc ----------------------------------------------------------------------------
 
 @register("best_worst_population")
 def q_best_worst_population(spark, sf_dir):
-    return A.best_worst_population(_mart_input(spark, sf_dir), _lga(spark, sf_dir), 12)
+    return A.best_worst_population(_mart_input(spark, sf_dir), _lga(spark, sf_dir), D.dim_date(_listings(spark, sf_dir)), 12)
 
 
 @register("best_listing_type")
@@ -407,4 +606,4 @@ def q_multi_host_same_lga(spark, sf_dir):
 
 @register("mortgage_coverage")
 def q_mortgage_coverage(spark, sf_dir):
-    return A.mortgage_coverage(_mart_input(spark, sf_dir), _lga(spark, sf_dir), 12)
+    return A.mortgage_coverage(_mart_input(spark, sf_dir), _lga(spark, sf_dir), D.dim_date(_listings(spark, sf_dir)), 12)

@@ -10,6 +10,7 @@ from rentmart.plans import fact as FT
 from rentmart.plans import marts as M
 from rentmart.plans.pipeline import run_pipeline
 from rentmart.sources import csv_feed
+from rentmart.sources.tables import Warehouse
 from fixtures import write_fixture
 from helpers import rows
 
@@ -142,8 +143,8 @@ def test_pipeline_idempotent_truncate_and_export(spark, built):
                                                  write_staging=False).items()}
     assert lean == first
     truncate_all(spark, target)
-    assert spark.read.parquet(f"{target}/warehouse/fact").count() == 0
-    assert "host_neighf" in spark.read.parquet(f"{target}/warehouse/fact").columns
+    fact = Warehouse(spark, target).read("warehouse", "fact")
+    assert fact.count() == 0 and "host_neighf" in fact.columns
 
 
 def test_approx_median_option(built):
@@ -176,11 +177,11 @@ def test_cli_rebuild_and_refresh(spark, built, tmp_path):
                  "--export", str(tmp_path / "out")]) == 0
     exported = spark.read.option("header", True).csv(str(tmp_path / "out" / "dm_property_type"))
     assert exported.count() == spark.table("cli_datamart.dm_property_type").count()
-    got = spark.read.parquet(str(tmp_path / "inc" / "datamart" / "dm_listing_neighbourhood"))
+    got = Warehouse(spark, str(tmp_path / "inc")).read("datamart", "dm_listing_neighbourhood")
     want = spark.table("cli_datamart.dm_listing_neighbourhood")
     assert rows(got.select(*want.columns)) == rows(want)
     assert main(["truncate", "--target", str(tmp_path / "wh")]) == 0
-    fact = spark.read.parquet(str(tmp_path / "wh" / "warehouse" / "fact"))
+    fact = Warehouse(spark, str(tmp_path / "wh")).read("warehouse", "fact")
     assert fact.count() == 0 and "listing_idf" in fact.columns
 
 
