@@ -147,7 +147,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     upto = F.sum("_n").over(Window.partitionBy("lang").orderBy("_lead"))
     counts = narrow.groupBy("lang", "_lead").agg(F.count("*").alias("_n")).withColumn("_upto", upto - F.col("_n"))
     last = counts.filter(F.col("_upto") < share).groupBy("lang").agg(F.max("_lead").alias("_last"))
-    narrow = narrow.join(last, "lang").filter(F.col("_lead") <= F.col("_last")).select("lang", "_key", "_t")
+    # one row per label, of which the model has as many
+    narrow = narrow.join(F.broadcast(last), "lang").filter(F.col("_lead") <= F.col("_last")).select("lang", "_key", "_t")
     order = Window.partitionBy("lang").orderBy("_key", "_t")
     narrow = narrow.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= share).drop("_rank")
     taken = narrow.groupBy("lang", "_key", "_t").agg(F.count("*").alias("_n"))
