@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import cut_lineage, pick, schema_of, small_batches
+from rentmart.llm.common import cut_lineage, schema_of, small_batches, stored
 from rentmart.llm.textarrays import IS_SPACE, LOWER, flat, slices, span_hash
 
 NO_ID = -(1 << 63)  # stands for a null doc_id, which thereby counts as the smallest
@@ -106,7 +106,9 @@ def repeated_lines(docs: DataFrame, least: int = 10) -> DataFrame:
             yield out(2, last)
 
     columns = "h1 long, h2 long, doc long, tag long, lines binary"
-    rows = docs.select("doc", "tag", "text").mapInArrow(keys, columns).repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc")
+    # stored: a range partitioning reads its rows twice, first to find the bounds
+    rows = stored(docs.select("doc", "tag", "text").mapInArrow(keys, columns), "lines")
+    rows = rows.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc")
     found = cut_lineage(rows.mapInArrow(stream, f"kind int, part int, {columns}"))
     ended = found.filter("kind = 2").groupBy("h1", "h2").agg(F.min("part").alias("begun"))  # a row per partition at most
     carried = found.filter("kind = 1").join(F.broadcast(ended), ["h1", "h2"]).filter("begun < part")
@@ -131,7 +133,7 @@ def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 16 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 texts, n, gone, bits, sha = [], [], [], [], []
                 for text, drop in zip(part.column("text").to_pylist(), part.column("lines").to_pylist(), strict=True):
                     text = text or ""

@@ -160,7 +160,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 data, offsets = flat(part.column("text"))
                 begin, end, first = words(data, offsets)
                 raw, gone, texts = data.tobytes(), [], []

@@ -76,7 +76,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``max_bytes`` of text; a longer text is a piece of its own, never cut."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at, total = 0, 0
