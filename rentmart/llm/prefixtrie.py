@@ -243,7 +243,10 @@ def _finished(small: DataFrame, values: list[str]) -> DataFrame:
             finish()
         yield batch_of()
 
-    by_part = small.select("top", "depth", "node", "parent", "weight", *values).repartition("top").sortWithinPartitions("top", "depth", "node")
+    # by an expression of its own: where the joins before are by top, Spark would take a repartition by top for done,
+    # and leave out that a join may split a partition
+    by_part = small.select("top", "depth", "node", "parent", "weight", *values).repartition(F.xxhash64("top"))
+    by_part = by_part.sortWithinPartitions("top", "depth", "node")
     return by_part.mapInArrow(run, "node binary, " + ", ".join(f"{v} long" for v in values))
 
 
