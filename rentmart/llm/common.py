@@ -90,6 +90,20 @@ def range_parts(df: DataFrame, order: list[Column], part: str = "_part") -> Data
     return cut_lineage(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
 
 
+def roots(pointers: DataFrame) -> DataFrame:
+    """(node, root): the pointers of (node, root), one per node and no cycle, followed to the last node.
+
+    Every round looks twice as far, so rounds follow the logarithm of the longest path.
+    """
+    steps = pointers.select("node", "root")
+    while True:
+        onward = steps.select(F.col("node").alias("root"), F.col("root").alias("_next"))
+        further = cut_lineage(steps.join(onward, "root", "left"))
+        if further.filter("_next is not null").isEmpty():
+            return steps
+        steps = further.select("node", F.coalesce("_next", "root").alias("root"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` (a, b; any order) reaches.
 

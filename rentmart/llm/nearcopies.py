@@ -5,33 +5,33 @@ class goes on. The smallest retained values of every class form inverted lists.
 a few heads of the list alone; members of a list of more than ``LIST`` classes (a common passage, a large family of
 copies) go on to their next retained values until they have ``LEADS`` short ones. The sketch of the union of a
 pair estimates its similarity and drops clear misses; each class is confirmed with its likeliest head on full sets.
-Then the members of every short list that still lie in different components are paired, estimated and confirmed, so
-that a family which its heads joined is not compared all with all.
+These links are a forest of families. From here on only pairs from different families matter: the members of
+every short list, and the *open* classes, those that lead to a long list which several families share.
+
+Open classes are compared by their whole sets: their shingles are ordered by the number of open classes that hold them,
+rarest first. Two sets with Jaccard J share at least one of the first n - ceil(J n) + 1 shingles of each in any
+common order, and what can still follow after their first shared one must suffice for J. A passage that
+thousands of otherwise unlike documents share is last in that order, so these never meet; nothing is left out.
 
 Two sets with Jaccard J share none of their ``LEADS`` smallest union values with probability (1 - J)^LEADS: 3e-6 at 0.8.
 The first value they share is one of the first ``LEADS`` of both. If its list is short, they meet there; if it is long,
-they are compared in the end, as all members of a long list with such a value are with those of other components,
-whatever short lists they have besides. A family that the heads already joined gives no such pair.
+both are open.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import components, cut_lineage, small_batches, stored
+from rentmart.llm.common import components, cut_lineage, roots, small_batches, stored
 from rentmart.llm.lines import NO_ID
 from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash, words
 
 #: values of a sketch; values that lead to lists; values looked at for them; classes of a short list
 K, LEADS, LOOK, LIST = 64, 8, 32, 64
-#: sets up to this size are compared in full where members of long lists meet
-FULL = 256
 #: an estimate this far below the threshold ends a pair (six standard deviations of a sketch)
 MARGIN = 0.3
 
@@ -108,33 +108,32 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     return pairs, lists, common
 
 
-def _apart(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: the members of each short list that lie in different components of ``found``."""
-    m = lists.select("value", F.explode("members").alias("m")).select("value", "m.doc", "m.n")
-    m = m.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc"))
+def _apart(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: the members of each short list that lie in different families."""
+    m = lists.select("value", F.explode("members").alias("m")).select("value", "m.doc", "m.n").join(parts, "doc")
     m = m.groupBy("value").agg(F.collect_list(F.struct("doc", "n", "part")).alias("members"), F.min("part").alias("lo"), F.max("part").alias("hi"))
     both = m.filter("lo != hi").select(F.explode("members").alias("x"), "members").select("x", F.explode("members").alias("y"))
     both = both.filter(f"x.doc < y.doc and x.part != y.part and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-    return both.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    return both.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, likeness): the pairs that the sketch of their union does not rule out."""
-    side = classes.select("doc", "n", "sketch")
-    both = pairs.join(side.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a").join(
-        side.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b"
-    ).filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    """(a, b, likeness): the pairs of different families that the sketch of their union does not rule out."""
+    side = ["doc", "n", "part", "sketch"]
+    both = pairs.join(classes.select(*[F.col(c).alias(f"{c}_a") for c in side]).withColumnRenamed("doc_a", "a"), "a").join(
+        classes.select(*[F.col(c).alias(f"{c}_b") for c in side]).withColumnRenamed("doc_b", "b"), "b"
+    ).filter(f"part_a != part_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             j = np.array([
                 estimate(np.frombuffer(x, "<u8"), nx, np.frombuffer(y, "<u8"), ny)
-                for x, nx, y, ny in zip(*(b.column(c).to_pylist() for c in ("sa", "na", "sb", "nb")), strict=True)
+                for x, nx, y, ny in zip(*(b.column(c).to_pylist() for c in ("sketch_a", "n_a", "sketch_b", "n_b")), strict=True)
             ], dtype=float)
             out = pa.RecordBatch.from_pydict({"a": b.column("a"), "b": b.column("b"), "likeness": pa.array(j)})
             yield out.filter(pa.array(j >= percent / 100 - MARGIN))
 
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, likeness double")
+    return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long, likeness double")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -156,47 +155,44 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def _whole(open_: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(doc, n, whole): the shingles of each document of ``open_`` that is one row; its sketch if they are more than ``FULL``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _open(common: DataFrame, parts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b), a < b: pairs of open classes of different families whose whole sets can be alike.
+
+    ``common``: (value, doc, n, rank), the members of the long lists. Shingles that one open class alone holds come
+    first in the order and can be shared by none: they only count. A class's text may stand in several rows, all alike
+    but by the doc_id that they share with rows of other texts; the set of the class's size is taken.
+    """
+    m = common.join(parts, "doc")
+    mixed = m.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("value")
+    docs = cut_lineage(m.join(mixed, "value", "left_semi").select("doc", "n", "part").distinct())
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
+                sizes = np.array([len(x) for x in sets], np.int64)
+                here = [i for i, (a, b) in enumerate(zip(sizes.tolist(), part.column("n").to_pylist(), strict=True)) if a == b]
+                at = np.repeat(np.array(here, np.int64), sizes[here])
+                values = np.concatenate([sets[i] for i in here] or [np.zeros(0, np.uint64)])
                 yield pa.RecordBatch.from_pydict({
-                    "doc": part.column("doc"), "n": pa.array([len(x) for x in sets], pa.int64()),
-                    "whole": pa.array([(x if len(x) <= FULL else x[:K]).view(np.int64) for x in sets], pa.list_(pa.int64())),
+                    **{c: part.column(c).take(pa.array(at)) for c in ("doc", "n", "part")}, "value": pa.array(values.view(np.int64)),
                 })
 
-    rows = texts.join(open_.select("doc").distinct(), "doc", "left_semi").mapInArrow(run, "doc long, n long, whole array<long>")
-    return rows.groupBy("doc", "n").agg(F.count("*").alias("rows"), F.first("whole").alias("whole")).filter("rows = 1").drop("rows")
-
-
-def _rest(common: DataFrame, found: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): in every long list, its members against all members of other components.
-
-    Pairs are made where the list's value can be the first one that both share, among the ``LEADS`` smallest of their
-    union. Sets of at most ``FULL`` shingles are compared in full where they meet, so that only links go on; where one of
-    two sets is larger, the sketches rule out what the estimate would.
-    """
-    part = found.withColumnRenamed("node", "doc")
-    m = common.join(part, "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
-    open_ = m.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi")
-    m = cut_lineage(m.join(open_.select("value"), "value", "left_semi"))
-    m = m.join(_whole(m, texts, size), ["doc", "n"], "left")
-    x = m.select("value", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("rank").alias("rx"), F.col("part").alias("px"), F.col("whole").alias("wx"))
-    near = f"x < doc and px != part and rx + rank < {LEADS} and 100 * least(n, nx) >= {percent} * greatest(n, nx)"
-    alike = (
-        f"case when whole is null or wx is null then true when greatest(n, nx) <= {FULL} then {100 + percent} * size(array_intersect(whole, wx)) >= {percent} * (n + nx) "
-        f"else size(array_intersect(slice(whole, 1, {K}), slice(wx, 1, {K}))) >= {ceil(K * (percent / 100 - MARGIN) - 1e-9)} end"
-    )
-    both = x.join(m, (x["value"] == m["value"]) & F.expr(near) & F.expr(alike))
-    return both.select(F.col("x").alias("a"), F.col("doc").alias("b")).distinct()
-
-
-def _linked(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components of ``found`` (node, component)."""
-    a, b = (found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-    return pairs.join(a, "a", "left").join(b, "b", "left").filter("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+    held = texts.join(docs, "doc").mapInArrow(shingles, "doc long, n long, part long, value long")
+    held = stored(held, "shingles")
+    several = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    held = held.join(several, "value").groupBy("doc", "n", "part", "value", "df").count()  # rows of one class and id
+    every = Window.partitionBy("doc", "n")
+    spot = F.row_number().over(every.orderBy("df", "value")) - 1 + F.col("n") - F.count("*").over(every)
+    prefix = held.withColumn("spot", spot).filter(f"spot <= n - ceil(n * {percent} / 100.0D)").select("doc", "n", "part", "value", "spot")
+    prefix = stored(prefix, "prefix")
+    meets = prefix.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("value")
+    y = cut_lineage(prefix.join(meets, "value", "left_semi"))
+    x = y.select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "part", "spot")])
+    need = f"{percent} * (n + x_n) <= {100 + percent} * least(n - spot, x_n - x_spot)"
+    near = f"x_doc < doc and x_part != part and 100 * least(n, x_n) >= {percent} * greatest(n, x_n) and {need}"
+    both = x.join(y, (x["value"] == y["value"]) & F.expr(near))
+    return both.select(F.col("x_doc").alias("a"), F.col("doc").alias("b"))
 
 
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -214,24 +210,24 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     full = s.filter("n > 0")
     classes = cut_lineage(full.groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead"), F.count("*").alias("copies")))
     candidates, lists, common = _candidates(classes.select("doc", "n", "lead", "copies"), percent)
-    pairs = cut_lineage(_estimated(candidates, classes, percent))
+    pairs = cut_lineage(_estimated(candidates, classes.withColumn("part", F.col("doc")), percent))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", F.bitwise_not("a"))).alias("a")).select("a", "b")
     first = cut_lineage(_confirmed(best, d, size, percent))
-    found = cut_lineage(components(first))
-    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    open_ = _rest(common, found, d, size, percent).unionByName(_apart(lists, found, percent)).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    late = _estimated(open_.distinct(), classes, percent).select("a", "b")
-    second = cut_lineage(_confirmed(_linked(rest, found).unionByName(late).distinct(), d, size, percent))
-    # members follow their class; only links between components of the first pass need another pass (mostly none)
-    member = full.join(classes.select("n", "h1", "h2", F.col("doc").alias("head")), ["n", "h1", "h2"]).groupBy("doc").agg(F.collect_set("head").alias("heads"))
-    member = cut_lineage(member.select("doc", F.array_min("heads").alias("head"), "heads"))
-    shared = member.filter("size(heads) > 1").select(F.col("head").alias("a"), F.explode("heads").alias("b")).filter("a != b")
-    la, lb = (found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-    late = second.unionByName(shared).join(la, "a", "left").join(lb, "b", "left")
-    again = components(late.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    top = member.join(found.select(F.col("node").alias("head"), F.col("component").alias("c1")), "head", "left")
-    top = top.select("doc", F.coalesce("c1", "head").alias("c1")).join(again.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
-    out = s.select("doc", "n").join(top.select("doc", F.coalesce("c2", "c1").alias("component")), "doc", "left")
+    # each class has one link at most, to a smaller one: a forest
+    tops = roots(first.select(F.col("b").alias("node"), F.col("a").alias("root")))
+    classes = cut_lineage(classes.join(tops.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("root", "doc")).drop("root", "lead"))
+    parts = classes.select("doc", "part")
+    late = pairs.select("a", "b").unionByName(_apart(lists, parts, percent)).unionByName(_open(common, parts, d, size, percent))
+    late = _estimated(late.distinct(), classes, percent)
+    second = cut_lineage(_confirmed(late, d, size, percent))
+    # members follow their class; only links between families need another pass (mostly few)
+    member = full.join(classes.select("n", "h1", "h2", "part"), ["n", "h1", "h2"]).groupBy("doc").agg(F.collect_set("part").alias("parts"))
+    member = cut_lineage(member.select("doc", F.array_min("parts").alias("part"), "parts"))
+    shared = member.filter("size(parts) > 1").select(F.col("part").alias("a"), F.explode("parts").alias("b")).filter("a != b")
+    linked = second.join(parts.select(F.col("doc").alias("a"), F.col("part").alias("pa")), "a").join(parts.select(F.col("doc").alias("b"), F.col("part").alias("pb")), "b")
+    again = components(linked.select(F.col("pa").alias("a"), F.col("pb").alias("b")).unionByName(shared))
+    top = member.join(again.withColumnRenamed("node", "part"), "part", "left").withColumn("component", F.coalesce("component", "part"))
+    out = s.select("doc", "n").join(top.select("doc", "component"), "doc", "left")
     component = F.coalesce("component", "doc")
     real = lambda c: F.when(c != NO_ID, c)
     return out.select(

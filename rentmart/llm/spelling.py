@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import cut_lineage, pick, small_batches, stored
+from rentmart.llm.common import cut_lineage, pick, roots, small_batches, stored
 
 # What a word is, which runs lose a code point, and which words count.
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -183,21 +183,6 @@ def _words(tile: pa.ListScalar) -> tuple[list[str], np.ndarray]:
     return values.field("word").to_pylist(), values.field("n").to_numpy(zero_copy_only=False)
 
 
-def _roots(forms: DataFrame) -> DataFrame:
-    """(word, root): the forms of (word, form) followed to the last, twice as far in every round.
-
-    Every form has at least twice its word's count, so no path closes, and rounds follow the logarithm of a
-    path's length, which follows the logarithm of the largest count.
-    """
-    steps = forms.select("word", F.col("form").alias("root"))
-    while True:
-        onward = steps.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        further = cut_lineage(steps.join(onward, "root", "left"))
-        if further.filter("_next is not null").isEmpty():
-            return steps
-        steps = further.select("word", F.coalesce("_next", "root").alias("root"))
-
-
 def variants(words: DataFrame, tile: int = TILE) -> DataFrame:
     """word, form, root, n, n_near, form_n of every word of (word, n).
 
@@ -211,8 +196,9 @@ def variants(words: DataFrame, tile: int = TILE) -> DataFrame:
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(is_form, F.col("best")).alias("form"), F.when(is_form, F.col("best_n")).alias("form_n"),
     ))
-    roots = _roots(found.filter("form is not null").select("word", "form"))
-    out = found.join(roots, "word", "left")
+    # every form has at least twice its word's count: no path closes, and its length follows the logarithm of the counts
+    ends = roots(found.filter("form is not null").select(F.col("word").alias("node"), F.col("form").alias("root")))
+    out = found.join(ends.withColumnRenamed("node", "word"), "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
