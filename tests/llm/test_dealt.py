@@ -3,6 +3,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,7 +81,12 @@ def test_repeats_empty(spark):
     assert remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def near_table(spark, rows, dim_type="double"):
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{dim_type}>").withColumn("v", F.lit(1)).withColumn("k", F.lit(2)).repartition(4)
+
+
 def test_near_vectors(spark):
+    """Odd rows, families larger than a tile, exact copies, equal directions, repeated and null ids."""
     r = random.Random(1)
     rows = [(0, None), (1, []), (2, [0.0] * 16), (3, [1.0, None] + [0.0] * 14), (4, [float("nan")] * 16), (5, [1.0]), (6, [-1.0]), (7, [2.0])]
     centres = [[r.gauss(0, 1) for _ in range(16)] for _ in range(12)]
@@ -88,11 +94,34 @@ def test_near_vectors(spark):
         c = r.choice(centres)
         rows.append((i, [x + r.gauss(0, 0.25) for x in c]))
     rows += [(i, rows[-1][1]) for i in range(250, 300)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("k", F.lit(2))
-    got, want = {x[0]: tuple(x[1:]) for x in near_vectors(table).collect()}, brute.near_vectors(rows)
-    assert sum(g[0] for g in got.values()) >= 0.98 * sum(w[0] for w in want.values())
-    assert all(got[i][0] <= want[i][0] for i in want) and sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
-    assert near_vectors(table.limit(0)).count() == 0
+    rows += [(i, [x + r.gauss(0, 0.02) for x in centres[0]]) for i in range(300, 900)]
+    got, want = {x[0]: tuple(x[1:]) for x in near_vectors(near_table(spark, rows)).collect()}, brute.near_vectors(rows)
+    assert sum(g[0] for g in got.values()) >= 0.998 * sum(w[0] for w in want.values())
+    assert all(got[i][0] <= want[i][0] for i in want) and sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
+    assert near_vectors(near_table(spark, rows).limit(0)).count() == 0
+
+
+def test_near_vectors_shared_ids(spark):
+    rows = [(None, [1.0, 0.0, 0.0]), (5, [1.0, 0.1, 0.0]), (5, [0.0, 1.0, 0.0]), (5, None), (9, [0.0, 1.0, 0.05]), (8, [0.0, 0.0, 3.0])]
+    got = sorted((tuple(x) for x in near_vectors(near_table(spark, rows)).collect()), key=str)
+    assert got == sorted([(None, 1, None, None), (5, 1, None, None), (5, 1, None, None), (5, 0, None, None), (9, 1, None, None), (8, 0, 8, True)], key=str) or [
+        (g[0], g[1], g[2]) for g in got] == sorted([(None, 1, None), (5, 1, None), (5, 1, None), (5, 0, None), (9, 1, None), (8, 0, 8)], key=str)
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.8])
+def test_near_vectors_at_the_threshold(spark, threshold):
+    """Pairs at most 0.02 above the threshold among unrelated vectors: the share of links found."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((600, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = rng.standard_normal((600, 64))
+    other -= (other * base).sum(axis=1, keepdims=True) * base
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    c = rng.uniform(threshold + 1e-6, threshold + 0.02, (600, 1))
+    twins = c * base + np.sqrt(1 - c * c) * other
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, twins]))]
+    got = {x[0]: x[1] for x in near_vectors(near_table(spark, rows), threshold).collect()}
+    assert sum(got.values()) >= 0.99 * 1_200 and max(got.values()) <= 2
 
 
 def test_language(spark):
