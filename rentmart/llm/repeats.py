@@ -1,13 +1,22 @@
 """Substring dedup by recompression: repeated word windows are found through shared symbols.
 
-Words are symbols of level 0. A round names every run of exactly two equal symbols, the next one every pair whose left
-and right symbol fall into different halves of the alphabet (a bit of the name decides). A name is the 64-bit hash of
-the words that a symbol stands for, so it is the same in every document without a table of names. Where a symbol ends
-depends on a few words around it, hence equal passages hold the same symbols in their interior. Of these, the ones
-with the smallest name within any ``SPREAD`` words are kept as anchors; an anchor's key is the hash of the ``REACH``
-words from its symbol on. Every window of the asked length holds an anchor that depends on the window's words alone,
-so a window that occurs twice holds an anchor that occurs twice, and only windows around such anchors are hashed
-and counted over all documents. Nothing is capped; documents of the same words are one document with copies.
+Words are symbols of level 0. Where a document is read, a first round names every run of exactly two equal symbols and
+a second one every pair whose left and right symbol fall into different halves of the alphabet (a bit of the name
+decides). A name is the 64-bit hash of the words that a symbol stands for, so it is the same in every document without a
+table of names. Where a symbol ends depends on a few words around it, hence equal passages hold the same symbols in their
+interior. The symbols with the smallest name within any ``SPREAD`` words begin the *blocks*: the words from one such
+place to the next are one symbol of the next level, and the hash of the ``REACH`` words behind its start is its key.
+
+From here on Spark names: a round counts the names of all documents and keeps symbols that occur twice. The first one
+keeps blocks by their keys: every window of the asked length holds the key of a block that depends on the window's words
+alone, so a window that occurs twice holds a key that occurs twice, and only windows around such keys matter. In
+each further round neighbours that were kept are joined, runs of equal symbols first, then pairs, and what does
+not occur twice is dropped; the data shrink from round to round. A symbol of a window's length or more that occurs twice
+is a repeat by itself: all its words go, and its windows are looked at in one of its places alone. The other windows
+and these are hashed and counted over all documents, and so are the long symbols, by two 64-bit hashes of their words.
+
+Nothing is capped; documents of the same words are one document with copies. Texts are read from the input again where
+they are needed and never stored.
 """
 
 from __future__ import annotations
@@ -20,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import cut_lineage, pick, small_batches, stored
-from rentmart.llm.textarrays import flat, ngram_hash, slices, span_hash, words
+from rentmart.llm.common import cut_lineage, pick, small_batches, stored, union_all
+from rentmart.llm.textarrays import flat, mix, slices, span_hash, words
 
 #: words on each side that can change where a symbol ends, after both rounds
 CONTEXT = 4
-REACH = 12
+REACH = 8
+#: rounds of joining kept symbols: a symbol may hold 2 ** ROUNDS blocks, and runs of any length
+ROUNDS = 3
 
 
 def spread_for(window: int) -> int:
@@ -72,18 +83,74 @@ def anchors(h: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(found)
 
 
-def _word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
+def _word_hashes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Both hashes of the words of each text."""
     data, offsets = flat(column)
     starts, ends, first = words(data, offsets)
-    h = span_hash(data, starts, ends)
+    h = [span_hash(data, starts, ends, k) for k in (0, 1)]
     for a, b in zip(first[:-1], first[1:], strict=True):
-        yield h[a:b]
+        yield h[0][a:b], h[1][a:b]
 
 
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def join_symbols(first: np.ndarray, last: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One round over the kept symbols of one document, in order: which of them begin a joined symbol, and its name.
+
+    ``first`` and ``last`` are the numbers of the blocks that a symbol spans; neighbours have consecutive numbers. Runs of
+    equal neighbours become one symbol, then pairs by the halves of the alphabet.
+    """
+    def starts_of(joined: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(~joined)
+
+    next_to = np.zeros(len(names), bool)
+    next_to[1:] = first[1:] == last[:-1] + 1
+    run = next_to.copy()
+    run[1:] &= names[1:] == names[:-1]
+    starts = starts_of(run)
+    count = np.diff(np.append(starts, len(names))).astype(np.uint64)
+    named = np.where(count > 1, mix(names[starts] + count * np.uint64(0x9E3779B97F4A7C15)), names[starts])
+    side = (named >> np.uint64(9)) & np.uint64(1)
+    pair = np.zeros(len(starts), bool)
+    pair[1:] = next_to[starts[1:]] & (side[:-1] == 0) & (side[1:] == 1)
+    heads = starts_of(pair)
+    right = np.append(pair[1:], False)[heads]
+    out = named[heads]
+    out[right] = mix(out[right] * np.uint64(0xC2B2AE3D27D4EB4F) + named[heads[right] + 1])
+    return starts[heads], out
+
+
+def _joined(kept: DataFrame) -> DataFrame:
+    """(row, i, j, at, end, name): the symbols of the next level, from those kept of the last one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {c: [] for c in ("row", "i", "j", "at", "end", "name")}
+            for row, symbols_ in zip(batch.column("row").to_pylist(), batch.column("symbols"), strict=True):
+                values = symbols_.values
+                i, j, at, end, name = (values.field(c).to_numpy(zero_copy_only=False) for c in ("i", "j", "at", "end", "name"))
+                begin, named = join_symbols(i, j, name.view(np.uint64))
+                stop = np.append(begin[1:], len(i)) - 1
+                out["row"].append(np.full(len(begin), row, np.int64))
+                for c, x in (("i", i[begin]), ("j", j[stop]), ("at", at[begin]), ("end", end[stop]), ("name", named.view(np.int64))):
+                    out[c].append(x)
+            yield pa.RecordBatch.from_pydict({
+                c: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64() if c in ("row", "name") else pa.int32()) for c, x in out.items()
+            })
+
+    listed = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "j", "at", "end", "name"))).alias("symbols"))
+    return listed.mapInArrow(run, "row long, i int, j int, at int, end int, name long")
+
+
+def _twice(level: DataFrame) -> DataFrame:
+    """The symbols whose name occurs twice in all documents, and whether this is the name's first place."""
+    names = level.groupBy("name").agg(F.count("*").alias("m"), F.min(F.struct("row", "at")).alias("place")).filter("m > 1")
+    kept = level.join(names.select("name", "place"), "name")
+    return kept.select("row", "i", "j", "at", "end", "name", (F.struct("row", "at") == F.col("place")).alias("here"))
+
+
 def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, text (kept words joined by one blank), for each row of ``docs``.
 
@@ -97,80 +164,117 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     reach = min(REACH, max(1, (window - 2 * CONTEXT) // 2))
-    d = pick(docs, "doc_id", "text")
+    # equal texts are one: two hashes stand for a text until it is read again
+    text = F.coalesce("text", F.lit(""))
+    d = pick(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("t2"), text).alias("t2")
+    )
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                data, offsets = flat(part.column("text"))
-                starts, ends, first = words(data, offsets)
-                for_words = [span_hash(data, starts, ends, k) for k in (0, 1)]
-                a, b = ((_long(span_hash(w, first[:-1], first[1:], k))) for k, w in enumerate(for_words))
-                keys, positions = [], []
-                for x, y in zip(first[:-1], first[1:], strict=True):
-                    h = for_words[0][x:y]
+                whole: list[list[int]] = [[], []]
+                n, keys, blocks, positions = [], [], [], []
+                for h, h2 in _word_hashes(part.column("text")):
+                    size = np.array([len(h)])
+                    for out, x in zip(whole, (h, h2), strict=True):
+                        out.append(int(span_hash(x, np.zeros(1, np.int64), size)[0].view(np.int64)))
                     at = anchors(h, window)
+                    n.append(len(h))
                     keys.append(span_hash(h, at, at + reach).view(np.int64))
+                    blocks.append(span_hash(h, at, np.append(at[1:], len(h))[: len(at)]).view(np.int64))
                     positions.append(at.astype(np.int32))
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id").cast(pa.int64()), "text": part.column("text").cast(pa.string()),
-                    "n": pa.array(np.diff(first)), "w1": a, "w2": b,
-                    "keys": pa.array(keys, pa.list_(pa.int64())), "at": pa.array(positions, pa.list_(pa.int32())),
+                    "t1": part.column("t1"), "t2": part.column("t2"), "n": pa.array(n, pa.int64()),
+                    "w1": pa.array(whole[0], pa.int64()), "w2": pa.array(whole[1], pa.int64()),
+                    "keys": pa.array(keys, pa.list_(pa.int64())), "blocks": pa.array(blocks, pa.list_(pa.int64())), "at": pa.array(positions, pa.list_(pa.int32())),
                 })
 
-    base = d.mapInArrow(digest, "doc_id long, text string, n long, w1 long, w2 long, keys array<long>, at array<int>")
+    base = d.select("text", "t1", "t2").mapInArrow(digest, "t1 long, t2 long, n long, w1 long, w2 long, keys array<long>, blocks array<long>, at array<int>")
     # the number of a row is fixed by the stored table, so a lost executor cannot change it
-    base = stored(base.withColumn("row", F.monotonically_increasing_id()), "words")
-    classes = cut_lineage(
-        base.groupBy("n", "w1", "w2").agg(F.min("row").alias("row"), F.count("*").alias("copies")).select("row", "copies")
-    )
-    single = base.select("row", "keys", "at").join(classes, "row").select("row", F.explode(F.arrays_zip("keys", "at")).alias("e"))
-    single = single.select("row", F.col("e.keys").alias("key"), F.col("e.at").alias("at"))
-    shared = single.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    spots = single.join(shared, "key").groupBy("row").agg(F.collect_list("at").alias("at"))  # one document's own
+    base = stored(base.withColumn("row", F.monotonically_increasing_id()), "blocks")
+    classes = base.groupBy("n", "w1", "w2").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
+    classes = cut_lineage(classes)
+    one = base.join(classes.select("row"), "row")
+    ends = F.concat(F.slice("at", 2, F.size("at")), F.array(F.col("n").cast("int")))
+    entries = one.filter("size(at) > 0").select("row", F.posexplode(F.arrays_zip("keys", "blocks", "at", ends.alias("ends"))).alias("i", "e"))
+    entries = entries.select("row", "i", F.col("i").alias("j"), F.col("e.at").alias("at"), F.col("e.ends").alias("end"), F.col("e.keys").alias("key"), F.col("e.blocks").alias("name"))
+    # the first round, by keys
+    shared = entries.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
+    spots = stored(entries.join(shared, "key").select("row", "i", "j", "at", "end", "name"), "spots")
+    kept, covers = _twice(spots), []
+    for _ in range(ROUNDS):
+        kept = stored(_twice(_joined(kept)), "symbols")
+        covers.append(kept.filter(F.col("end") - F.col("at") >= window).select("row", "at", "end", "here"))
+        kept = kept.drop("here")
+    covers = union_all(covers).distinct()
+    plan = spots.select("row", "at", F.lit(None).cast("int").alias("end"), F.lit(False).alias("here")).unionByName(covers)
+    plan = plan.groupBy("row").agg(F.collect_list(F.struct("at", "end", "here")).alias("plan"))  # one document's own
+    plan = plan.join(base.select("row", "t1", "t2"), "row")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(h: np.ndarray, h2: np.ndarray, row: int, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "g1": _long(span_hash(h, start, end, 0)), "g2": _long(span_hash(h2, start, end, 1)),
+                "row": pa.array(np.full(len(start), row, np.int64)), "start": pa.array(start.astype(np.int32)),
+                "words": pa.array((end - start).astype(np.int32)),
+            })
+
+        def spans(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            """Which of ``size`` places lie in one of the spans."""
+            change = np.zeros(size + 1, np.int64)
+            np.add.at(change, np.clip(low, 0, size), 1)
+            np.add.at(change, np.clip(high, 0, size), -1)
+            return np.cumsum(change[:size]) > 0
+
         for batch in batches:
             for part in slices(batch, "text"):
-                for row, at, h in zip(part.column("row").to_pylist(), part.column("at").to_pylist(), _word_hashes(part.column("text")), strict=True):
+                for row, entry, (h, h2) in zip(part.column("row").to_pylist(), part.column("plan"), _word_hashes(part.column("text")), strict=True):
+                    values = entry.values
+                    at = values.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
+                    is_cover = values.field("end").is_valid().to_numpy(zero_copy_only=False)
+                    end = values.field("end").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                    here = values.field("here").to_numpy(zero_copy_only=False) & is_cover
                     m = len(h) - window + 1
-                    change = np.zeros(m + 1, np.int64)
-                    p = np.array(at, np.int64)
-                    np.add.at(change, np.clip(p - window + reach, 0, m), 1)
-                    np.add.at(change, np.clip(p + 1, 0, m), -1)
-                    start = np.flatnonzero(np.cumsum(change[:m]) > 0)
-                    for k in range(0, len(start), 1 << 17):
-                        s = start[k : k + (1 << 17)]
-                        yield pa.RecordBatch.from_pydict({
-                            "g1": _long(span_hash(h, s, s + window, 0)),
-                            "g2": _long(span_hash(h, s, s + window, 1)).cast(pa.int64()),
-                            "row": pa.array(np.full(len(s), row, np.int64)), "start": pa.array(s.astype(np.int32)),
-                        })
-
-    wide = base.select("row", "text").join(spots, "row")
-    windows = stored(wide.mapInArrow(hashes, "g1 long, g2 long, row long, start int"), "windows")
-    again = windows.groupBy("g1", "g2").agg(F.count("*").alias("m")).filter("m > 1").select("g1", "g2")
-    starts = windows.join(again, ["g1", "g2"]).groupBy("row").agg(F.collect_list("start").alias("starts"))
-    # all words of a document that has copies go, if it holds a window
-    copied = base.select("row", "n", "w1", "w2").join(
-        base.groupBy("n", "w1", "w2").agg(F.count("*").alias("m")).filter(f"m > 1 and n >= {window}"), ["n", "w1", "w2"]
-    ).select("row", F.lit(True).alias("whole"))
-    marks = starts.join(copied, "row", "full")
-    joined = base.select("row", "doc_id", "n", "text").join(marks.hint("shuffle_hash"), "row", "left").drop("row")
+                    # windows that hold the key of a shared block; windows inside a long symbol, and in its first place
+                    near = spans(m, at[~is_cover] - window + reach, at[~is_cover] + 1)
+                    covered = spans(m, at[is_cover], end[is_cover] - window + 1)
+                    listed = spans(m, at[here], end[here] - window + 1)
+                    start = np.flatnonzero((near & ~covered) | listed)
+                    for k in range(0, len(start), 1 << 16):
+                        s = start[k : k + (1 << 16)]
+                        yield rows(h, h2, row, s, s + window)
+                    both = np.unique(np.stack([at[is_cover], end[is_cover]], axis=1), axis=0)
+                    both = both[both[:, 1] - both[:, 0] > window]  # one of a window's length is listed as a window, or a copy of one
+                    yield rows(h, h2, row, both[:, 0], both[:, 1])
+                    short = np.unique(at[is_cover & (end - at == window) & ~here])
+                    short = short[~((near & ~covered) | listed)[short]] if len(short) else short
+                    yield rows(h, h2, row, short, short + window)
+
+    # one row of each text
+    texts = d.select("t1", "t2", "text").join(plan, ["t1", "t2"]).groupBy("row", "t1", "t2").agg(F.first("text").alias("text"), F.first("plan").alias("plan"))
+    windows = stored(texts.select("row", "text", "plan").mapInArrow(hashes, "g1 long, g2 long, row long, start int, words int"), "windows")
+    again = windows.groupBy("g1", "g2", "words").agg(F.count("*").alias("m")).filter("m > 1").select("g1", "g2", "words")
+    starts = windows.join(again, ["g1", "g2", "words"]).groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("starts"))
+    # all words of a document that has copies go, if it holds a window; its other texts have the same words
+    marks = classes.join(starts, "row", "left").filter(f"starts is not null or (copies > 1 and n >= {window})")
+    marks = marks.select("n", "w1", "w2", "starts", ((F.col("copies") > 1) & (F.col("n") >= window)).alias("whole"))
+    marks = base.select("t1", "t2", "n", "w1", "w2").distinct().join(marks, ["n", "w1", "w2"]).select("t1", "t2", "starts", "whole")
+    joined = d.join(marks.hint("shuffle_hash"), ["t1", "t2"], "left").select("doc_id", "text", "starts", "whole")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text"):
                 data, offsets = flat(part.column("text"))
                 begin, end, first = words(data, offsets)
                 raw, gone, texts = data.tobytes(), [], []
-                for i, (whole, starts) in enumerate(zip(part.column("whole").to_pylist(), part.column("starts").to_pylist(), strict=True)):
+                for i, (whole, starts) in enumerate(zip(part.column("whole").to_pylist(), part.column("starts"), strict=True)):
                     a, b = first[i], first[i + 1]
                     change = np.zeros(b - a + 1, np.int64)
-                    if starts:
-                        s = np.array(starts, np.int64)
+                    if starts.is_valid:
+                        s, n = (starts.values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "words"))
                         np.add.at(change, s, 1)
-                        np.add.at(change, s + window, -1)
+                        np.add.at(change, s + n, -1)
                     drop = np.cumsum(change[: b - a]) > 0
                     if whole:
                         drop[:] = True
@@ -178,7 +282,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                     texts.append(b" ".join([raw[x:y] for x, y in zip(begin[keep].tolist(), end[keep].tolist(), strict=True)]).decode())
                     gone.append(int(drop.sum()))
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "n_words": part.column("n"), "n_removed": pa.array(gone, pa.int64()),
+                    "doc_id": part.column("doc_id"), "n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(gone, pa.int64()),
                     "kept_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
                     "text": pa.array(texts, pa.string()),
                 })

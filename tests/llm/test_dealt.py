@@ -149,3 +149,19 @@ def test_urls(spark):
     assert (got[7]["host"], got[7]["path"]) == ("n.org", "/fr/3://k")
     assert all(x["verdict"] in ("allow", "block") for x in got.values())
     assert judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_repeats_of_long_symbols(spark):
+    """Long near copies, a text inside a longer one, periods and runs: symbols of many windows, and windows at their edges."""
+    r = random.Random(21)
+    base = [f"v{r.randrange(5_000)}" for _ in range(1_500)]
+    docs = [(0, " ".join(base)), (1, " ".join(base[100:900])), (2, " ".join(base[140:175])), (3, " ".join(["x"] + base[300:334]))]
+    for i in range(4, 24):
+        words = list(base[r.randrange(300) : 1_500 - r.randrange(300)])
+        for _ in range(r.randrange(1, 12)):
+            words[r.randrange(len(words))] = f"e{i}"
+        docs.append((i, " ".join(words)))
+    docs += [(30, "p q r " * 100), (31, "a " * 300 + "b " * 100), (32, " ".join(base[:60] * 3)), (33, " ".join(f"u{k}" for k in range(400)))]
+    docs += [(34, docs[1][1].replace(" ", "  ")), (35, docs[1][1])]
+    got = sorted((tuple(x) for x in remove_repeats(spark.createDataFrame(docs, DOCS).repartition(4)).drop("text").collect()), key=str)
+    assert got == brute.repeats(docs)
