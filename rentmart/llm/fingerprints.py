@@ -3,8 +3,8 @@
 A text's shingles are its runs of five words (white-space separated; a shorter text is one shingle). Of their
 64-bit hashes the sketch retains every one in the lowest 1/``SCALE`` of the hash range. The threshold is the same for
 all texts, so sketches of texts of any length compare, intersect and merge: the union of two sketches is the
-sketch of both texts together. A text of at most ``SMALL`` distinct shingles retains all of them (scale 1), as
-a share of so few says little; where scales differ, both sides are cut to the smaller share first.
+sketch of both texts together. The sketch of a text of n distinct shingles has n / ``SCALE`` hashes on average, and a
+likeness from m of them has a standard error of at most 1 / (2 sqrt(m)); a text of very few shingles may retain none.
 """
 
 from __future__ import annotations
@@ -14,55 +14,40 @@ from pyspark.sql import functions as F
 
 from rentmart.llm.common import pick
 
-SHINGLE, SCALE, SMALL = 5, 8, 256
+SHINGLE, SCALE = 5, 2
 _LIMIT = -(1 << 63) + (1 << 64) // SCALE  # hashes are signed: the lowest part starts at -2^63
 
 
 def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds ``name``: struct(scale int, hashes array<long>, ascending). No words (or null): scale 1 and no hash."""
+    """Adds ``name``: array<long> of the retained hashes, ascending. No words (or null): none."""
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     df = df.withColumn("_w", F.transform(words, lambda w: F.xxhash64(w)))
     starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - (SHINGLE - 1), F.lit(1)))
     shingles = F.transform(starts, lambda i: F.xxhash64(F.slice(F.col("_w"), i, F.lit(SHINGLE))))
+    low = F.array_sort(F.array_distinct(F.filter(shingles, lambda x: x < F.lit(_LIMIT))))
     none = F.array().cast("array<bigint>")
-    df = df.withColumn("_h", F.when(F.size("_w") == 0, none).otherwise(F.array_distinct(shingles)))
-    all_, low = F.sort_array("_h"), F.sort_array(F.filter("_h", lambda x: x < F.lit(_LIMIT)))
-    small = F.size("_h") <= SMALL
-    df = df.withColumn(name, F.struct(F.when(small, 1).otherwise(SCALE).alias("scale"), F.when(small, all_).otherwise(low).alias("hashes")))
-    return df.drop("_w", "_h")
-
-
-def _alike(a: Column, b: Column) -> tuple[Column, Column]:
-    """The hashes of both at the smaller share."""
-    def cut(x: Column, y: Column) -> Column:
-        low = F.filter(x.getField("hashes"), lambda h: h < F.lit(_LIMIT))
-        return F.when((x.getField("scale") == 1) & (y.getField("scale") > 1), low).otherwise(x.getField("hashes"))
-    return cut(a, b), cut(b, a)
+    return df.withColumn(name, F.when(F.size("_w") == 0, none).otherwise(low)).drop("_w")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard likeness of two texts from their sketches; where neither has a hash left, 1.0 for equal sketches, else 0.0."""
-    x, y = _alike(a, b)
-    both, any_ = F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))
-    return F.when(a == b, F.lit(1.0)).when(any_ == 0, F.lit(0.0)).otherwise(both / any_)
+    """Estimated Jaccard likeness of two texts from their sketches; 0.0 where neither retains a hash."""
+    both, any_ = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
+    return F.when(any_ == 0, F.lit(0.0)).otherwise(both / any_)
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the shingles of ``a`` that ``b`` has; null where ``a`` has no hash left."""
-    x, y = _alike(a, b)
-    return F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x))
+    """Estimated share of the shingles of ``a`` that ``b`` has; null where ``a`` retains no hash."""
+    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a))
 
 
 def merged(a: Column, b: Column) -> Column:
-    """The sketch of two texts together; it stays at the smaller share."""
-    x, y = _alike(a, b)
-    return F.struct(F.greatest(a.getField("scale"), b.getField("scale")).alias("scale"), F.sort_array(F.array_union(x, y)).alias("hashes"))
+    """The sketch of two texts together."""
+    return F.array_sort(F.array_union(a, b))
 
 
 def as_text(sketch: Column) -> Column:
-    """The fingerprint as a string: scale, colon, 16 hexadecimal digits for each hash in ascending signed order."""
-    digits = F.transform(sketch.getField("hashes"), lambda h: F.lpad(F.hex(h), 16, "0"))
-    return F.concat(sketch.getField("scale").cast("string"), F.lit(":"), F.array_join(digits, ""))
+    """The fingerprint as a string: 16 hexadecimal digits for each hash in ascending signed order."""
+    return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
 def with_next(df: DataFrame, *columns: str) -> DataFrame:
@@ -98,7 +83,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     ``docs``: doc_id, text; other columns are ignored, a null text is empty. The edited text has its last
     floor(n_chars / 3) code points replaced by the first as many, or all, of the next document's (descending doc_id;
-    a single row is its own next). Rows that share a doc_id are ordered by text. An empty table gives no row.
+    a single row is its own next). Equal texts have a likeness of 1. Rows that share a doc_id are ordered by text. An
+    empty table gives no row.
     """
     d = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     d = with_next(with_sketch(d, "text", "sketch"), "text", "sketch")
@@ -106,12 +92,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     k = F.floor(F.col("n_chars") / 3).cast("int")
     d = d.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - k).cast("int")), F.substring("next_text", F.lit(1), k)
-    )).drop("text", "next_text")
+    ))
+    d = d.withColumns({"same_edited": F.col("text") == F.col("edited"), "same_next": F.col("text") == F.col("next_text")}).drop("text", "next_text")
     d = with_sketch(d, "edited", "edited_sketch")
     return d.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        F.when(F.col("same_edited"), 1.0).otherwise(likeness(F.col("sketch"), F.col("edited_sketch"))).alias("near_edited"),
+        F.when(F.col("same_next"), 1.0).otherwise(likeness(F.col("sketch"), F.col("next_sketch"))).alias("near_next"),
         containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_in_edited"),
     )

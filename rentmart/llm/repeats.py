@@ -13,7 +13,9 @@ alone, so a window that occurs twice holds a key that occurs twice, and only win
 each further round neighbours that were kept are joined, runs of equal symbols first, then pairs, and what does
 not occur twice is dropped; the data shrink from round to round. A symbol of a window's length or more that occurs twice
 is a repeat by itself: all its words go, and its windows are looked at in one of its places alone. The other windows
-and these are hashed and counted over all documents, and so are the long symbols, by two 64-bit hashes of their words.
+and these are hashed over all documents, and so are the long symbols, by two 64-bit hashes of their words. A task
+sends one of its equal windows on and has the others settled at once; what it sends meets its like in one sorted
+stream, so that a window of very many documents is a few rows there.
 
 Nothing is capped; documents of the same words are one document with copies. Texts are read from the input again where
 they are needed and never stored.
@@ -36,7 +38,9 @@ from rentmart.llm.textarrays import flat, mix, slices, span_hash, words
 CONTEXT = 4
 REACH = 8
 #: rounds of joining kept symbols: a symbol may hold 2 ** ROUNDS blocks, and runs of any length
-ROUNDS = 3
+ROUNDS = 2
+#: windows that a task holds before it sends them on
+HELD = 1 << 18
 
 
 def spread_for(window: int) -> int:
@@ -151,6 +155,25 @@ def _twice(level: DataFrame) -> DataFrame:
     return kept.select("row", "i", "j", "at", "end", "name", (F.struct("row", "at") == F.col("place")).alias("here"))
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a stream sorted by (g1, g2) whose key stands there twice, or that were found before."""
+    held = None  # the last row, whose next one is still to come
+    same = False  # and whether it has the key of the row before
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+        g1, g2 = (rows.column(c).to_numpy() for c in ("g1", "g2"))
+        alike = np.zeros(len(g1) + 1, bool)  # each row and the one before
+        alike[0] = same
+        alike[1:-1] = (g1[1:] == g1[:-1]) & (g2[1:] == g2[:-1])
+        again = (alike[:-1] | alike[1:]) | rows.column("again").to_numpy(zero_copy_only=False)
+        held, same = rows.slice(rows.num_rows - 1), bool(alike[-2])
+        yield rows.slice(0, rows.num_rows - 1).filter(pa.array(again[:-1])).select(["row", "start", "words"])
+    if held is not None and (same or held.column("again")[0].as_py()):
+        yield held.select(["row", "start", "words"])
+
+
 def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, text (kept words joined by one blank), for each row of ``docs``.
 
@@ -212,50 +235,74 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     plan = plan.groupBy("row").agg(F.collect_list(F.struct("at", "end", "here")).alias("plan"))  # one document's own
     plan = plan.join(base.select("row", "t1", "t2"), "row")
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(h: np.ndarray, h2: np.ndarray, row: int, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({
-                "g1": _long(span_hash(h, start, end, 0)), "g2": _long(span_hash(h2, start, end, 1)),
-                "row": pa.array(np.full(len(start), row, np.int64)), "start": pa.array(start.astype(np.int32)),
-                "words": pa.array((end - start).astype(np.int32)),
-            })
+    def spans(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which of ``size`` places lie in one of the spans."""
+        change = np.zeros(size + 1, np.int64)
+        np.add.at(change, np.clip(low, 0, size), 1)
+        np.add.at(change, np.clip(high, 0, size), -1)
+        return np.cumsum(change[:size]) > 0
+
+    def listed_of(plan: pa.ListScalar, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of the windows and long symbols of a document that are to be hashed."""
+        values = plan.values
+        at = values.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
+        is_cover = values.field("end").is_valid().to_numpy(zero_copy_only=False)
+        end = values.field("end").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        here = values.field("here").to_numpy(zero_copy_only=False) & is_cover
+        m = size - window + 1
+        # windows that hold the key of a shared block, but for those inside a long symbol that is not in its first place;
+        # a symbol of a window's length is one of the windows
+        near = spans(m, at[~is_cover] - window + reach, at[~is_cover] + 1) & ~spans(m, at[is_cover], end[is_cover] - window + 1)
+        near |= spans(m, at[here], end[here] - window + 1)
+        near[at[is_cover & (end - at == window)]] = True
+        start = np.flatnonzero(near)
+        long = np.unique(np.stack([at[is_cover], end[is_cover]], axis=1), axis=0)
+        long = long[long[:, 1] - long[:, 0] > window]
+        return np.concatenate([start, long[:, 0]]), np.concatenate([start + window, long[:, 1]])
 
-        def spans(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-            """Which of ``size`` places lie in one of the spans."""
-            change = np.zeros(size + 1, np.int64)
-            np.add.at(change, np.clip(low, 0, size), 1)
-            np.add.at(change, np.clip(high, 0, size), -1)
-            return np.cumsum(change[:size]) > 0
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            g1, g2, row, start, size = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((g2, g1))
+            g1, g2, row, start, size = (x[order] for x in (g1, g2, row, start, size))
+            new = np.ones(len(g1), bool)
+            new[1:] = (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])
+            group = np.cumsum(new) - 1
+            again = np.bincount(group)[group] > 1
+            # the others of a group have found each other: they are only passed on, each under a key of its own
+            alone = mix(row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
+            g1, g2 = np.where(new, g1, alone), np.where(new, g2, mix(alone + np.uint64(1)))
+            for k in range(0, len(g1), 1 << 16):
+                x = slice(k, k + (1 << 16))
+                yield pa.RecordBatch.from_pydict({
+                    "g1": _long(g1[x]), "g2": _long(g2[x]), "row": pa.array(row[x]), "start": pa.array(start[x].astype(np.int32)),
+                    "words": pa.array(size[x].astype(np.int32)), "again": pa.array(again[x]),
+                })
 
+        n = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                for row, entry, (h, h2) in zip(part.column("row").to_pylist(), part.column("plan"), _word_hashes(part.column("text")), strict=True):
-                    values = entry.values
-                    at = values.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
-                    is_cover = values.field("end").is_valid().to_numpy(zero_copy_only=False)
-                    end = values.field("end").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                    here = values.field("here").to_numpy(zero_copy_only=False) & is_cover
-                    m = len(h) - window + 1
-                    # windows that hold the key of a shared block; windows inside a long symbol, and in its first place
-                    near = spans(m, at[~is_cover] - window + reach, at[~is_cover] + 1)
-                    covered = spans(m, at[is_cover], end[is_cover] - window + 1)
-                    listed = spans(m, at[here], end[here] - window + 1)
-                    start = np.flatnonzero((near & ~covered) | listed)
-                    for k in range(0, len(start), 1 << 16):
-                        s = start[k : k + (1 << 16)]
-                        yield rows(h, h2, row, s, s + window)
-                    both = np.unique(np.stack([at[is_cover], end[is_cover]], axis=1), axis=0)
-                    both = both[both[:, 1] - both[:, 0] > window]  # one of a window's length is listed as a window, or a copy of one
-                    yield rows(h, h2, row, both[:, 0], both[:, 1])
-                    short = np.unique(at[is_cover & (end - at == window) & ~here])
-                    short = short[~((near & ~covered) | listed)[short]] if len(short) else short
-                    yield rows(h, h2, row, short, short + window)
+                for row, plan, (h, h2) in zip(part.column("row").to_pylist(), part.column("plan"), _word_hashes(part.column("text")), strict=True):
+                    start, end = listed_of(plan, len(h))
+                    for k in range(0, len(start), HELD):
+                        a, b = start[k : k + HELD], end[k : k + HELD]
+                        held.append((span_hash(h, a, b, 0), span_hash(h2, a, b, 1), np.full(len(a), row, np.int64), a, b - a))
+                        n += len(a)
+                        if n >= HELD:
+                            yield from out()
+                            n = 0
+        if held:
+            yield from out()
 
     # one row of each text
     texts = d.select("t1", "t2", "text").join(plan, ["t1", "t2"]).groupBy("row", "t1", "t2").agg(F.first("text").alias("text"), F.first("plan").alias("plan"))
-    windows = stored(texts.select("row", "text", "plan").mapInArrow(hashes, "g1 long, g2 long, row long, start int, words int"), "windows")
-    again = windows.groupBy("g1", "g2", "words").agg(F.count("*").alias("m")).filter("m > 1").select("g1", "g2", "words")
-    starts = windows.join(again, ["g1", "g2", "words"]).groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("starts"))
+    columns = "g1 long, g2 long, row long, start int, words int, again boolean"
+    windows = texts.select("row", "text", "plan").mapInArrow(hashes, columns)
+    met = windows.repartition(F.xxhash64("g1", "g2")).sortWithinPartitions("g1", "g2").mapInArrow(_met, "row long, start int, words int")
+    starts = met.groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("starts"))
     # all words of a document that has copies go, if it holds a window; its other texts have the same words
     marks = classes.join(starts, "row", "left").filter(f"starts is not null or (copies > 1 and n >= {window})")
     marks = marks.select("n", "w1", "w2", "starts", ((F.col("copies") > 1) & (F.col("n") >= window)).alias("whole"))
