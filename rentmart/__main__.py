@@ -37,8 +37,9 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--export", help="folder for the ordered mart CSV exports")
     rb.add_argument("--divisor", choices=["active", "all"], default="active")
     rb.add_argument("--catalog-prefix", help="also register <prefix><layer>.<table> in the catalog")
-    rb.add_argument("--on-error", choices=["raise", "null"], default="raise",
-                    help="a bad CSV field value fails the run, or loads as NULL")
+    rb.add_argument("--on-error", choices=["raise", "null", "reject"], default="raise",
+                    help="a bad CSV field value fails the run, loads as NULL, or sets its row aside (staging.<feed>_rows)")
+    rb.add_argument("--null-safe", action="store_true", help="NULL parts of the fact's keys match NULL parts")
     rb.add_argument("--lean", action="store_true",
                     help="do not store the staging copy of the feeds (one write of the listings)")
     rf = sub.add_parser("refresh", help="take new listing files once and refresh the touched months")
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     rf.add_argument("--export", help="folder for the ordered mart CSV exports after the refresh")
     rf.add_argument("--divisor", choices=["active", "all"], help="for a new warehouse; else the one it was built with")
     rf.add_argument("--on-error", choices=["raise", "null"], default="raise")
+    rf.add_argument("--null-safe", action="store_true", default=None, help="for a new warehouse; else as it was built")
     tr = sub.add_parser("truncate", help="empty every table, keeping schemas")
     tr.add_argument("--target", required=True)
     args = ap.parse_args(argv)
@@ -54,12 +56,14 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     if args.cmd == "rebuild":
         run_pipeline(spark, args.target, feed_dirs=_feed_dirs(args.feeds), export_dir=args.export,
-                     property_divisor=args.divisor, write_staging=not args.lean, on_error=args.on_error)
+                     property_divisor=args.divisor, write_staging=not args.lean, on_error=args.on_error,
+                     null_safe=args.null_safe)
         if args.catalog_prefix is not None:
             register_catalog(spark, args.target, args.catalog_prefix)
     elif args.cmd == "refresh":
         feeds = _feed_dirs(args.feeds)
-        inc = IncrementalMarts(spark, feeds["listings"], args.target, property_divisor=args.divisor, on_error=args.on_error)
+        inc = IncrementalMarts(spark, feeds["listings"], args.target, property_divisor=args.divisor, on_error=args.on_error,
+                               null_safe=args.null_safe)
         wh = Warehouse(spark, args.target)
         if not wh.exists("warehouse", "dim_lga") or wh.read("warehouse", "dim_lga").isEmpty():
             inc.bootstrap({n: csv_feed.read_feed(spark, p, n) for n, p in feeds.items() if n != "listings"})

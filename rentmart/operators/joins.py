@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _and(conds: list[Column]) -> Column:
+def all_of(conds: list[Column]) -> Column:
+    """AND of conditions."""
     out = conds[0]
     for c in conds[1:]:
         out = out & c
@@ -24,7 +25,7 @@ def _and(conds: list[Column]) -> Column:
 
 def key_match(pairs: list[tuple[Column, Column]], null_safe: bool = False) -> Column:
     """AND of equalities; NULL never matches unless ``null_safe``."""
-    return _and([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    return all_of([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
 def left_join(df: DataFrame, dim: DataFrame, on: Column, bounded: bool = False) -> DataFrame:
@@ -53,7 +54,7 @@ def composite_left_join(df: DataFrame, dim: DataFrame, pairs: list[tuple[str, st
     on = key_match([(F.col(l), F.col(r)) for l, r in pairs], null_safe)
     if null_safe or not spread_nulls:
         return left_join(df, dim, on, bounded)
-    complete = _and([F.col(l).isNotNull() for l, _ in pairs])
+    complete = all_of([F.col(l).isNotNull() for l, _ in pairs])
     spread = F.when(complete, F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in (spread_by or [l for l, _ in pairs])]),
                F.lit(NULL_SPREAD)) + 1)

@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from rentmart.functions.expr import as_column
 
 
 def lag_over(x, w: WindowSpec) -> Column:
     """Value of x in the previous *present* row of the window (W2); gaps are not filled."""
-    return F.lag(_c(x)).over(w)
+    return F.lag(as_column(x)).over(w)
 
 
 def pct_change(x, w: WindowSpec) -> Column:
     """(x - lag(x)) / nullif(lag(x), 0) * 100 as double (W3); NULL for the first row."""
     prev = lag_over(x, w)
-    return (_c(x) - prev).cast("double") / F.nullif(prev, F.lit(0)) * 100
+    return (as_column(x) - prev).cast("double") / F.nullif(prev, F.lit(0)) * 100
 
 
 def monthly_lag(df: DataFrame, keys: list[str], x: str, month: str = "year_month",

@@ -18,12 +18,12 @@ are joined by shuffle, with AQE splitting skewed keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentmart.functions.expr import UNKNOWN, UNKNOWN_SUBURB_ID, revenue, stays
 from rentmart.operators.keys import range_count
-from rentmart.operators.joins import case_insensitive_left_join, composite_left_join, left_join
+from rentmart.operators.joins import all_of, case_insensitive_left_join, composite_left_join, left_join
 
 # columns every fact / mart row reads anyway: they spread NULL-key rows in shuffle joins
 SPREAD_BY = ["listing_id", "host_id", "scraped_date", "price"]
@@ -37,13 +37,6 @@ MART_COLUMNS = ["year_month", "listing_neighbourhood", "host_neighbourhood_lga",
                 "review_scores_rating"]
 
 
-def _and(conds: list[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
 def build_wide_fact(listings: DataFrame, dims: dict[str, DataFrame], price_cap: int = 2000,
                     null_safe: bool = False) -> DataFrame:
     """Fact rows with ids, measures and the joined dimension attributes."""
@@ -126,10 +119,10 @@ def mart_input_direct(listings: DataFrame, dim_lga: DataFrame, dim_suburb: DataF
     if null_safe:
         listing_ok = host_ok = F.lit(True)
     else:
-        listing_ok = _and([F.col(c).isNotNull() for c in
+        listing_ok = all_of([F.col(c).isNotNull() for c in
                            ["listing_id", "property_type", "room_type", "accommodates",
                             "has_availability", "number_of_reviews"]])
-        host_ok = _and([F.col(c).isNotNull() for c in
+        host_ok = all_of([F.col(c).isNotNull() for c in
                         ["host_id", "host_name", "host_since", "host_is_superhost"]])
     ds = dim_suburb.select(F.col("suburb_name").alias("ds_suburb_name"),
                                               F.col("lga_name").alias("ds_lga_name"))
