@@ -93,10 +93,10 @@ def main():
     timed("dm_host_neighbourhood", lambda: run(M.dm_host_neighbourhood(star)))
     timed("dm_listing_neighbourhood_star",
           lambda: run(M.dm_listing_neighbourhood(FT.star_view(fact, dims))))
-    timed("best_worst_population", lambda: run(A.best_worst_population(star, dims["dim_lga"])))
+    timed("best_worst_population", lambda: run(A.best_worst_population(star, dims["dim_lga"], dims["dim_date"])))
     timed("best_listing_type", lambda: run(A.best_listing_type(star)))
     timed("multi_host_same_lga", lambda: run(A.multi_host_same_lga(star)))
-    timed("mortgage_coverage", lambda: run(A.mortgage_coverage(star, dims["dim_lga"])))
+    timed("mortgage_coverage", lambda: run(A.mortgage_coverage(star, dims["dim_lga"], dims["dim_date"])))
 
     timed("full_rebuild", lambda: run_pipeline(spark, f"{root}/full", staging=st))
 

@@ -192,7 +192,7 @@ def test_empty_input(built):
     for df in (M.dm_listing_neighbourhood(star), M.dm_property_type(star), M.dm_host_neighbourhood(star),
                A.best_listing_type(star), A.multi_host_same_lga(star)):
         assert df.count() == 0
-    q1 = A.best_worst_population(star, lga).collect()
+    q1 = A.best_worst_population(star, lga, built["dims"]["dim_date"]).collect()
     assert [r.performance for r in q1] == ["best_minus_worst"] and q1[0].revenue_per_active_listing is None
-    q4 = A.mortgage_coverage(star, lga).collect()
+    q4 = A.mortgage_coverage(star, lga, built["dims"]["dim_date"]).collect()
     assert len(q4) == 1 and q4[0].n_hosts == 0 and q4[0].covering_pct is None
