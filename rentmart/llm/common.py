@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: bounds of one Arrow batch handed to Python
-BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 _SHIPPED: list = []
 
 

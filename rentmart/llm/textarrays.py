@@ -13,6 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# what a worker frees goes back to the system, so that idle workers of earlier stages stay small
+pa.set_memory_pool(pa.system_memory_pool())
+
 BASES = (0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4F & ~7 | 3)  # 3 or 5 modulo 8: small differences keep their rank
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 #: white space of the contracts: blank and 0x09-0x0D

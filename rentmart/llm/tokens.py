@@ -21,7 +21,7 @@ import pyarrow as pa
 from rentmart.llm.textarrays import IS_SPACE, flat, span_hash, spread
 
 #: chunks (about 30 bytes each) and pre-tokens kept at most by a worker; beyond it a memo starts anew
-MEMO_CHUNKS, MEMO_TOKENS = 2_000_000, 200_000
+MEMO_CHUNKS, MEMO_TOKENS = 400_000, 100_000
 #: the pre-tokeniser's own split of a byte-level BPE (fixed value)
 _PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
