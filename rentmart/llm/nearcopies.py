@@ -11,7 +11,8 @@ every short list, and the *open* classes, those that lead to a long list which s
 Open classes are compared by their whole sets: their shingles are ordered by the number of open classes that hold them,
 rarest first. Two sets with Jaccard J share at least one of the first n - ceil(J n) + 1 shingles of each in any
 common order, and what can still follow after their first shared one must suffice for J. A passage that
-thousands of otherwise unlike documents share is last in that order, so these never meet; nothing is left out.
+thousands of otherwise unlike documents share is last in that order, so these never meet. Where two meet, sketches of
+``WIDE`` values decide whether they go on, which are the whole sets if these have no more.
 
 Two sets with Jaccard J share none of their ``LEADS`` smallest union values with probability (1 - J)^LEADS: 3e-6 at 0.8.
 The first value they share is one of the first ``LEADS`` of both. If its list is short, they meet there; if it is long,
@@ -21,6 +22,7 @@ both are open.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -34,6 +36,8 @@ from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash,
 K, LEADS, LOOK, LIST = 64, 8, 32, 64
 #: an estimate this far below the threshold ends a pair (six standard deviations of a sketch)
 MARGIN = 0.3
+#: values of the sketches that open classes are compared by, and the same distance for these
+WIDE, WIDE_MARGIN = 256, 0.15
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -179,7 +183,7 @@ def _open(common: DataFrame, parts: DataFrame, texts: DataFrame, size: int, perc
                 })
 
     held = texts.join(docs, "doc").mapInArrow(shingles, "doc long, n long, part long, value long")
-    held = stored(held, "shingles")
+    held = own = stored(held, "shingles")
     several = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     held = held.join(several, "value").groupBy("doc", "n", "part", "value", "df").count()  # rows of one class and id
     every = Window.partitionBy("doc", "n")
@@ -187,11 +191,20 @@ def _open(common: DataFrame, parts: DataFrame, texts: DataFrame, size: int, perc
     prefix = held.withColumn("spot", spot).filter(f"spot <= n - ceil(n * {percent} / 100.0D)").select("doc", "n", "part", "value", "spot")
     prefix = stored(prefix, "prefix")
     meets = prefix.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("value")
-    y = cut_lineage(prefix.join(meets, "value", "left_semi"))
-    x = y.select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "part", "spot")])
+    y = prefix.join(meets, "value", "left_semi")
+    # where they meet, their sketches are compared, of WIDE values here; a set of no more is compared whole
+    wide = own.groupBy("doc", "n").agg(F.array_sort(F.collect_set("value")).alias("all"))
+    wide = wide.join(y.select("doc", "n").distinct(), ["doc", "n"], "left_semi")
+    y = cut_lineage(y.join(wide.filter("size(all) = n").select("doc", "n", F.slice("all", 1, WIDE).alias("wide")), ["doc", "n"], "left"))
+    x = y.select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "part", "spot", "wide")])
+    least = ceil(WIDE * (percent / 100 - WIDE_MARGIN) - 1e-9)
+    alike = (
+        f"case when wide is null or x_wide is null then true when greatest(n, x_n) <= {WIDE} then "
+        f"{100 + percent} * size(array_intersect(wide, x_wide)) >= {percent} * (n + x_n) else size(array_intersect(wide, x_wide)) >= {least} end"
+    )
     need = f"{percent} * (n + x_n) <= {100 + percent} * least(n - spot, x_n - x_spot)"
     near = f"x_doc < doc and x_part != part and 100 * least(n, x_n) >= {percent} * greatest(n, x_n) and {need}"
-    both = x.join(y, (x["value"] == y["value"]) & F.expr(near))
+    both = x.join(y, (x["value"] == y["value"]) & F.expr(near) & F.expr(alike))
     return both.select(F.col("x_doc").alias("a"), F.col("doc").alias("b"))
 
 
