@@ -40,9 +40,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a compressed table in the shared folder, computed once: for wide rows."""
+    """The rows as a compressed table in the shared folder, computed once: for wide rows.
+
+    Spark removes the shuffle files of a plan once the driver has collected it as garbage; that is asked for here, as the
+    plan of the written rows is done with.
+    """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

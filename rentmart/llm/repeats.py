@@ -100,26 +100,23 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def join_symbols(first: np.ndarray, last: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def join_symbols(at: np.ndarray, end: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One round over the kept symbols of one document, in order: which of them begin a joined symbol, and its name.
 
-    ``first`` and ``last`` are the numbers of the blocks that a symbol spans; neighbours have consecutive numbers. Runs of
+    ``at`` and ``end`` are the words that a symbol spans; a neighbour begins where the one before ends. Runs of
     equal neighbours become one symbol, then pairs by the halves of the alphabet.
     """
-    def starts_of(joined: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(~joined)
-
     next_to = np.zeros(len(names), bool)
-    next_to[1:] = first[1:] == last[:-1] + 1
+    next_to[1:] = at[1:] == end[:-1]
     run = next_to.copy()
     run[1:] &= names[1:] == names[:-1]
-    starts = starts_of(run)
+    starts = np.flatnonzero(~run)
     count = np.diff(np.append(starts, len(names))).astype(np.uint64)
     named = np.where(count > 1, mix(names[starts] + count * np.uint64(0x9E3779B97F4A7C15)), names[starts])
     side = (named >> np.uint64(9)) & np.uint64(1)
     pair = np.zeros(len(starts), bool)
     pair[1:] = next_to[starts[1:]] & (side[:-1] == 0) & (side[1:] == 1)
-    heads = starts_of(pair)
+    heads = np.flatnonzero(~pair)
     right = np.append(pair[1:], False)[heads]
     out = named[heads]
     out[right] = mix(out[right] * np.uint64(0xC2B2AE3D27D4EB4F) + named[heads[right] + 1])
@@ -127,32 +124,30 @@ def join_symbols(first: np.ndarray, last: np.ndarray, names: np.ndarray) -> tupl
 
 
 def _joined(kept: DataFrame) -> DataFrame:
-    """(row, i, j, at, end, name): the symbols of the next level, from those kept of the last one."""
+    """(row, at, end, name): the symbols of the next level, from those kept of the last one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("row", "i", "j", "at", "end", "name")}
+            out: dict[str, list] = {c: [] for c in ("row", "at", "end", "name")}
             for row, symbols_ in zip(batch.column("row").to_pylist(), batch.column("symbols"), strict=True):
-                values = symbols_.values
-                i, j, at, end, name = (values.field(c).to_numpy(zero_copy_only=False) for c in ("i", "j", "at", "end", "name"))
-                begin, named = join_symbols(i, j, name.view(np.uint64))
-                stop = np.append(begin[1:], len(i)) - 1
+                at, end, name = (symbols_.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "end", "name"))
+                begin, named = join_symbols(at, end, name.view(np.uint64))
                 out["row"].append(np.full(len(begin), row, np.int64))
-                for c, x in (("i", i[begin]), ("j", j[stop]), ("at", at[begin]), ("end", end[stop]), ("name", named.view(np.int64))):
+                for c, x in (("at", at[begin]), ("end", end[np.append(begin[1:], len(at)) - 1]), ("name", named.view(np.int64))):
                     out[c].append(x)
             yield pa.RecordBatch.from_pydict({
                 c: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64() if c in ("row", "name") else pa.int32()) for c, x in out.items()
             })
 
-    listed = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "j", "at", "end", "name"))).alias("symbols"))
-    return listed.mapInArrow(run, "row long, i int, j int, at int, end int, name long")
+    listed = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "end", "name"))).alias("symbols"))
+    return listed.mapInArrow(run, "row long, at int, end int, name long")
 
 
 def _twice(level: DataFrame) -> DataFrame:
     """The symbols whose name occurs twice in all documents, and whether this is the name's first place."""
     names = level.groupBy("name").agg(F.count("*").alias("m"), F.min(F.struct("row", "at")).alias("place")).filter("m > 1")
     kept = level.join(names.select("name", "place"), "name")
-    return kept.select("row", "i", "j", "at", "end", "name", (F.struct("row", "at") == F.col("place")).alias("here"))
+    return kept.select("row", "at", "end", "name", (F.struct("row", "at") == F.col("place")).alias("here"))
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,11 +215,11 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     classes = cut_lineage(classes)
     one = base.join(classes.select("row"), "row")
     ends = F.concat(F.slice("at", 2, F.size("at")), F.array(F.col("n").cast("int")))
-    entries = one.filter("size(at) > 0").select("row", F.posexplode(F.arrays_zip("keys", "blocks", "at", ends.alias("ends"))).alias("i", "e"))
-    entries = entries.select("row", "i", F.col("i").alias("j"), F.col("e.at").alias("at"), F.col("e.ends").alias("end"), F.col("e.keys").alias("key"), F.col("e.blocks").alias("name"))
+    entries = one.filter("size(at) > 0").select("row", F.explode(F.arrays_zip("keys", "blocks", "at", ends.alias("ends"))).alias("e"))
+    entries = entries.select("row", F.col("e.at").alias("at"), F.col("e.ends").alias("end"), F.col("e.keys").alias("key"), F.col("e.blocks").alias("name"))
     # the first round, by keys
     shared = entries.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    spots = stored(entries.join(shared, "key").select("row", "i", "j", "at", "end", "name"), "spots")
+    spots = stored(entries.join(shared, "key").select("row", "at", "end", "name"), "spots")
     kept, covers = _twice(spots), []
     for _ in range(ROUNDS):
         kept = stored(_twice(_joined(kept)), "symbols")
