@@ -95,6 +95,30 @@ def range_parts(df: DataFrame, order: list[Column], part: str = "_part") -> Data
     return cut_lineage(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
 
 
+#: bits of a filter of keys, whatever their number: one megabyte
+FILTER_BITS = 1 << 23
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(_bucket, _bits): a bitmap of the keys (long) by their lowest bits, of a size that does not depend on them."""
+    spot = F.pmod(F.col(key), F.lit(FILTER_BITS)) + 1
+    spots = keys.select(F.bitmap_bucket_number(spot).alias("_bucket"), F.bitmap_bit_position(spot).alias("_at"))
+    return spots.groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+
+
+def with_maybe(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: false for rows whose key is certainly not among those of ``key_filter``.
+
+    It spares rows a shuffle; a full bitmap spares none and changes nothing else.
+    """
+    spot = F.pmod(F.col(key), F.lit(FILTER_BITS)) + 1
+    df = df.withColumn("_bucket", F.bitmap_bucket_number(spot)).withColumn("_at", F.bitmap_bit_position(spot))
+    df = df.join(F.broadcast(keys), "_bucket", "left")
+    byte = "cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)"
+    bit = F.expr(f"shiftright({byte}, cast(_at % 8 as int)) & 1 = 1")
+    return df.withColumn(name, F.coalesce(bit, F.lit(False))).drop("_bucket", "_at", "_bits")
+
+
 def roots(pointers: DataFrame) -> DataFrame:
     """(node, root): the pointers of (node, root), one per node and no cycle, followed to the last node.
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import cut_lineage, pick, small_batches, stored, union_all
+from rentmart.llm.common import cut_lineage, key_filter, pick, small_batches, stored, union_all, with_maybe
 from rentmart.llm.textarrays import flat, mix, slices, span_hash, words
 
 #: words on each side that can change where a symbol ends, after both rounds
@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     covers = union_all(covers).distinct()
     plan = spots.select("row", "at", F.lit(None).cast("int").alias("end"), F.lit(False).alias("here")).unionByName(covers)
     plan = plan.groupBy("row").agg(F.collect_list(F.struct("at", "end", "here")).alias("plan"))  # one document's own
-    plan = plan.join(base.select("row", "t1", "t2"), "row")
+    plan = stored(plan.join(base.select("row", "t1", "t2"), "row"), "plan")
 
     def spans(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Which of ``size`` places lie in one of the spans."""
@@ -292,8 +292,9 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
         if held:
             yield from out()
 
-    # one row of each text
-    texts = d.select("t1", "t2", "text").join(plan, ["t1", "t2"]).groupBy("row", "t1", "t2").agg(F.first("text").alias("text"), F.first("plan").alias("plan"))
+    # one row of each text; those without a shared block stay where they are
+    planned = cut_lineage(key_filter(plan, "t1"))
+    texts = with_maybe(d.select("t1", "t2", "text"), "t1", planned, "wanted").filter("wanted").drop("wanted").join(plan, ["t1", "t2"]).groupBy("row", "t1", "t2").agg(F.first("text").alias("text"), F.first("plan").alias("plan"))
     columns = "g1 long, g2 long, row long, start int, words int, again boolean"
     windows = texts.select("row", "text", "plan").mapInArrow(hashes, columns)
     met = windows.repartition(F.xxhash64("g1", "g2")).sortWithinPartitions("g1", "g2").mapInArrow(_met, "row long, start int, words int")
@@ -302,7 +303,11 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     marks = classes.join(starts, "row", "left").filter(f"starts is not null or (copies > 1 and n >= {window})")
     marks = marks.select("n", "w1", "w2", "starts", ((F.col("copies") > 1) & (F.col("n") >= window)).alias("whole"))
     marks = base.select("t1", "t2", "n", "w1", "w2").distinct().join(marks, ["n", "w1", "w2"]).select("t1", "t2", "starts", "whole")
-    joined = d.join(marks.hint("shuffle_hash"), ["t1", "t2"], "left").select("doc_id", "text", "starts", "whole")
+    marks = stored(marks, "marks")
+    marked = with_maybe(d, "t1", cut_lineage(key_filter(marks, "t1")), "marked")
+    joined = marked.filter("marked").join(marks.hint("shuffle_hash"), ["t1", "t2"], "left").select("doc_id", "text", "starts", "whole")
+    none = [F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in ("starts", "whole")]
+    joined = joined.unionByName(marked.filter("not marked").select("doc_id", "text", *none))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -165,3 +165,14 @@ def test_repeats_of_long_symbols(spark):
     docs += [(34, docs[1][1].replace(" ", "  ")), (35, docs[1][1])]
     got = sorted((tuple(x) for x in remove_repeats(spark.createDataFrame(docs, DOCS).repartition(4)).drop("text").collect()), key=str)
     assert got == brute.repeats(docs)
+
+
+def test_key_filter_never_loses_a_key(spark):
+    from rentmart.llm.common import key_filter, with_maybe
+
+    keys = spark.range(0, 4_000, 2).select((F.xxhash64("id")).alias("k")).unionByName(spark.createDataFrame([(0,), (-1,), (2**63 - 1,), (-(2**63),)], "k long"))
+    rows = spark.range(0, 4_000).select(F.xxhash64("id").alias("k"), (F.col("id") % 2 == 0).alias("there"))
+    rows = rows.unionByName(spark.createDataFrame([(0, True), (-1, True), (2**63 - 1, True), (-(2**63), True)], "k long, there boolean"))
+    got = with_maybe(rows, "k", key_filter(keys, "k"), "maybe")
+    assert got.filter("there and not maybe").count() == 0 and got.filter("maybe and not there").count() <= 10
+    assert with_maybe(rows, "k", key_filter(keys.limit(0), "k"), "maybe").filter("maybe").count() == 0
