@@ -267,9 +267,8 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
             new[1:] = (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])
             group = np.cumsum(new) - 1
             again = np.bincount(group)[group] > 1
-            # the others of a group have found each other: they are only passed on, each under a key of its own
-            alone = mix(row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
-            g1, g2 = np.where(new, g1, alone), np.where(new, g2, mix(alone + np.uint64(1)))
+            # the others of a group have found each other: they are only passed on, under one key of no window
+            g1, g2 = np.where(new, g1, mix(g1[:1])), np.where(new, g2, np.uint64(0))
             for k in range(0, len(g1), 1 << 16):
                 x = slice(k, k + (1 << 16))
                 yield pa.RecordBatch.from_pydict({
