@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import components, cut_lineage, roots, small_batches, stored
+from rentmart.llm.common import components, cut_lineage, key_filter, roots, small_batches, stored, with_maybe
 from rentmart.llm.lines import NO_ID
 from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash, words
 
@@ -191,10 +191,10 @@ def _open(common: DataFrame, parts: DataFrame, texts: DataFrame, size: int, perc
     prefix = held.withColumn("spot", spot).filter(f"spot <= n - ceil(n * {percent} / 100.0D)").select("doc", "n", "part", "value", "spot")
     prefix = stored(prefix, "prefix")
     meets = prefix.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("value")
-    y = prefix.join(meets, "value", "left_semi")
+    y = cut_lineage(prefix.join(meets, "value", "left_semi"))
     # where they meet, their sketches are compared, of WIDE values here; a set of no more is compared whole
+    own = with_maybe(own, "doc", cut_lineage(key_filter(y.select("doc").distinct(), "doc")), "meets").filter("meets")
     wide = own.groupBy("doc", "n").agg(F.array_sort(F.collect_set("value")).alias("all"))
-    wide = wide.join(y.select("doc", "n").distinct(), ["doc", "n"], "left_semi")
     y = cut_lineage(y.join(wide.filter("size(all) = n").select("doc", "n", F.slice("all", 1, WIDE).alias("wide")), ["doc", "n"], "left"))
     x = y.select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "part", "spot", "wide")])
     least = ceil(WIDE * (percent / 100 - WIDE_MARGIN) - 1e-9)
