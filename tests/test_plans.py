@@ -77,3 +77,17 @@ def test_kpi_marts_have_one_aggregate_by_group(stored):
         p = plan(df).split("== Initial Plan ==")[-1].split("(1) ")[0]
         assert p.count("Exchange (") - p.count("BroadcastExchange (") <= 5
         assert "SortMergeJoin" not in p
+
+
+def test_line_items_are_shuffled_narrow_and_never_by_customer(spark):
+    """With every table too large to broadcast, orders meet customers first, and no raw measure goes through a shuffle."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(testmap.listings(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    nodes = [n for n in text.split("\n\n") if ") Exchange" in n.strip().split("\n")[0]]
+    by_customer = [n for n in nodes if "hashpartitioning(o_custkey" in n]
+    assert by_customer and all("l_orderkey" not in n for n in by_customer)
+    assert nodes and not any(c in n for n in nodes for c in ("l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
