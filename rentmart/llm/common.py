@@ -39,15 +39,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a compressed table in the shared folder, computed once: for wide rows.
+def let_go(spark: SparkSession) -> None:
+    """Asks for the files of plans that are done with.
 
-    Spark removes the shuffle files of a plan once the driver has collected it as garbage; that is asked for here, as the
-    plan of the written rows is done with.
+    Spark removes the shuffle files of a plan, and its checkpoints where the session says so, once the driver has collected it
+    as garbage.
     """
+    spark.sparkContext._jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a compressed table in the shared folder, computed once: for wide rows. Their plan is let go."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    let_go(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import components, cut_lineage, roots, small_batches, stored
+from rentmart.llm.common import components, cut_lineage, let_go, roots, small_batches, stored
 from rentmart.llm.lines import NO_ID
 from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash, words
 
@@ -88,11 +88,12 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     entries = classes.select("doc", "n", "copies", F.posexplode("lead").alias("rank", "value"))
     early = entries.filter(F.col("rank") < LEADS)
     here = F.struct("doc", "n")
-    long_ = cut_lineage(entries.groupBy("value").agg(
-        F.count("*").alias("members"), F.min(here).alias("h0"), F.min_by(here, F.xxhash64("doc", "value")).alias("h1"),
+    # counted first: the heads' wide rows are shuffled for the values of long lists alone
+    often = cut_lineage(entries.groupBy("value").count().filter(F.col("count") > LIST).select("value"))
+    long_ = cut_lineage(entries.join(often, "value").groupBy("value").agg(
+        F.min(here).alias("h0"), F.min_by(here, F.xxhash64("doc", "value")).alias("h1"),
         F.min_by(here, F.struct("n", "doc")).alias("h2"), F.max_by(here, F.struct("n", "doc")).alias("h3"),
-        F.max_by(here, F.struct("copies", F.bitwise_not("doc"))).alias("h4"),
-    ).filter(F.col("members") > LIST))
+        F.max_by(here, F.struct("copies", F.bitwise_not("doc"))).alias("h4")))
     heads = F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3", "h4")))
     hot = early.join(long_, "value").select("doc", "n", heads.alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
     # short lists: the first LEADS short values of each class
@@ -181,7 +182,8 @@ def _open(common: DataFrame, parts: DataFrame, texts: DataFrame, size: int, perc
     held = texts.join(docs, "doc").mapInArrow(shingles, "doc long, n long, part long, value long")
     held = stored(held, "shingles")
     several = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    held = held.join(several, "value").groupBy("doc", "n", "part", "value", "df").count()  # rows of one class and id
+    # dealt out once, by what the window below goes by: the rows of one class and id are grouped where they lie
+    held = held.join(several, "value").repartition("doc", "n").groupBy("doc", "n", "part", "value", "df").count()
     every = Window.partitionBy("doc", "n")
     spot = F.row_number().over(every.orderBy("df", "value")) - 1 + F.col("n") - F.count("*").over(every)
     prefix = held.withColumn("spot", spot).filter(f"spot <= n - ceil(n * {percent} / 100.0D)").select("doc", "n", "part", "value", "spot")
@@ -207,8 +209,10 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     small_batches(docs.sparkSession)
     d = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.col("text"))
     s = cut_lineage(sketches(d, size))
+    classes = cut_lineage(s.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead"), F.count("*").alias("copies")))
+    s = cut_lineage(s.select("doc", "n", "h1", "h2"))
+    let_go(docs.sparkSession)       # the sketches of all rows: from here on classes have them
     full = s.filter("n > 0")
-    classes = cut_lineage(full.groupBy("n", "h1", "h2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"), F.first("lead").alias("lead"), F.count("*").alias("copies")))
     candidates, lists, common = _candidates(classes.select("doc", "n", "lead", "copies"), percent)
     pairs = cut_lineage(_estimated(candidates, classes.withColumn("part", F.col("doc")), percent))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", F.bitwise_not("a"))).alias("a")).select("a", "b")
@@ -217,9 +221,11 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     tops = roots(first.select(F.col("b").alias("node"), F.col("a").alias("root")))
     classes = cut_lineage(classes.join(tops.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("root", "doc")).drop("root", "lead"))
     parts = classes.select("doc", "part")
+    let_go(docs.sparkSession)
     late = pairs.select("a", "b").unionByName(_apart(lists, parts, percent)).unionByName(_open(common, parts, d, size, percent))
     late = _estimated(late.distinct(), classes, percent)
     second = cut_lineage(_confirmed(late, d, size, percent))
+    let_go(docs.sparkSession)
     # members follow their class; only links between families need another pass (mostly few)
     member = full.join(classes.select("n", "h1", "h2", "part"), ["n", "h1", "h2"]).groupBy("doc").agg(F.collect_set("part").alias("parts"))
     member = cut_lineage(member.select("doc", F.array_min("parts").alias("part"), "parts"))

@@ -5,6 +5,7 @@ import random
 import brute
 import pytest
 
+from rentmart.llm import nearcopies
 from rentmart.llm.nearcopies import MARGIN, K, near_copies
 
 
@@ -23,6 +24,23 @@ def test_link_by_a_common_passage(spark, seed):
     assert got == want
 
 
+def test_open_classes_are_dealt_out_once(spark, monkeypatch):
+    """The shingles of open classes go to their documents in one shuffle, for the grouping and for the order."""
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return nearcopies.cut_lineage(df)
+
+    monkeypatch.setattr(nearcopies, "stored", kept)
+    common = spark.createDataFrame([(7, 1, 2, 0), (7, 2, 2, 0)], "value long, doc long, n long, rank int")
+    parts = spark.createDataFrame([(1, 1), (2, 2)], "doc long, part long")
+    texts = spark.createDataFrame([(1, "a b"), (2, "b a")], "doc long, text string")
+    found = nearcopies._open(common, parts, texts, 1, 80)
+    assert plans["prefix"].count("Exchange hashpartitioning(doc") == 1
+    assert [tuple(r) for r in found.distinct().collect()] == [(1, 2)]
+
+
 def test_margin_keeps_links():
     from math import comb
 
