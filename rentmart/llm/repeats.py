@@ -24,15 +24,17 @@ they are needed and never stored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentmart.llm.common import cut_lineage, key_filter, pick, small_batches, stored, union_all, with_maybe
-from rentmart.llm.textarrays import flat, mix, slices, span_hash, words
+from rentmart.llm.textarrays import IS_SPACE, flat, mix, slices, span_hash, words
 
 #: words on each side that can change where a symbol ends, after both rounds
 CONTEXT = 4
@@ -49,12 +51,15 @@ def spread_for(window: int) -> int:
     return window - 2 * CONTEXT - reach + 1
 
 
-def symbols(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start word of each symbol after a round of runs and a round of pairs, and its name. ``h``: word hashes."""
+def symbols(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start word of each symbol after a round of runs and a round of pairs, and its name. ``h``: word hashes of
+    documents laid end to end, ``first``: the first word of each (one more than documents); no symbol spans two."""
     n = len(h)
+    begins = np.zeros(n + 1, bool)
+    begins[first] = True
     # runs of exactly two
     same = np.zeros(n + 1, bool)
-    same[1:n] = h[1:] == h[:-1]
+    same[1:n] = (h[1:] == h[:-1]) & ~begins[1:n]
     joined = same[:n].copy()  # this word continues a run of two
     joined[1:] &= ~same[: n - 1]
     joined &= ~same[1:]
@@ -64,36 +69,63 @@ def symbols(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     # pairs: left half then right half
     side = (name >> np.uint64(7)) & np.uint64(1)
     pair = np.zeros(len(starts), bool)
-    pair[1:] = (side[:-1] == 0) & (side[1:] == 1)
+    pair[1:] = (side[:-1] == 0) & (side[1:] == 1) & ~begins[starts[1:]]
     starts = starts[~pair]
     ends = np.append(starts[1:], n)
     return starts, span_hash(h, starts, ends)
 
 
-def anchors(h: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the anchors of one document (word hashes), ascending."""
-    n, reach = len(h), min(REACH, max(1, (window - 2 * CONTEXT) // 2))
-    if n < window:
+def first_least(values: np.ndarray, wide: int) -> np.ndarray:
+    """Position of the first smallest value of every ``wide`` consecutive ones, by spans that double."""
+    at, span = np.arange(len(values)), 1
+    while span < wide:
+        step = min(span, wide - span)
+        at = np.where(values[step:] < values[:-step], at[step:], at[:-step])
+        values = np.minimum(values[step:], values[:-step])
+        span += step
+    return at
+
+
+def anchors(h: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
+    """Positions of the anchors of documents laid end to end (word hashes, first word of each), ascending."""
+    n, sizes = len(h), np.diff(first)
+    if not (sizes >= window).any():
         return np.zeros(0, np.int64)
     wide = spread_for(window)
-    starts, names = symbols(h)
+    starts, names = symbols(h, first)
     rank = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     rank[starts] = names
-    views = np.lib.stride_tricks.sliding_window_view(rank[: n - reach + 1], min(wide, n - reach + 1))
+    # a place whose ``wide`` positions lie in one document, with the words of a key behind each of them
+    places = spans(n - wide + 1, first[:-1], np.where(sizes >= window, first[1:] - window + 2 * CONTEXT + 1, first[:-1]))
     found = np.zeros(n, bool)
-    for at in range(0, len(views), 1 << 16):  # a very long text in bounded pieces
-        part = views[at : at + (1 << 16)]
-        found[at + np.arange(len(part)) + part.argmin(axis=1)] = True
+    for at in range(0, len(places), 1 << 16):  # in bounded pieces
+        part = places[at : at + (1 << 16)]
+        found[at + first_least(rank[at : at + len(part) + wide - 1], wide)[part]] = True
     return np.flatnonzero(found)
 
 
-def _word_hashes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Both hashes of the words of each text."""
+def spans(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which of ``size`` places lie in one of the spans, of which none ends before it begins."""
+    change = np.bincount(np.minimum(low, size), minlength=size + 1) - np.bincount(np.minimum(high, size), minlength=size + 1)
+    return np.cumsum(change[:size]) > 0
+
+
+def _word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both hashes of the words of all texts, and the first word of each text (one more than texts)."""
     data, offsets = flat(column)
     starts, ends, first = words(data, offsets)
-    h = [span_hash(data, starts, ends, k) for k in (0, 1)]
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        yield h[0][a:b], h[1][a:b]
+    return span_hash(data, starts, ends, 0), span_hash(data, starts, ends, 1), first.astype(np.int64)
+
+
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+
+def _entries(lists: pa.Array, *names: str) -> tuple[np.ndarray, list[pa.Array]]:
+    """The entries of a column of lists of structs (null: none): the list of each, and these of their fields."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    flat_ = pc.list_flatten(lists)
+    return np.repeat(np.arange(len(lists)), size), [flat_.field(flat_.type.get_field_index(c)) for c in names]
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -191,21 +223,17 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                whole: list[list[int]] = [[], []]
-                n, keys, blocks, positions = [], [], [], []
-                for h, h2 in _word_hashes(part.column("text")):
-                    size = np.array([len(h)])
-                    for out, x in zip(whole, (h, h2), strict=True):
-                        out.append(int(span_hash(x, np.zeros(1, np.int64), size)[0].view(np.int64)))
-                    at = anchors(h, window)
-                    n.append(len(h))
-                    keys.append(span_hash(h, at, at + reach).view(np.int64))
-                    blocks.append(span_hash(h, at, np.append(at[1:], len(h))[: len(at)]).view(np.int64))
-                    positions.append(at.astype(np.int32))
+                h, h2, first = _word_hashes(part.column("text"))
+                w1, w2 = (span_hash(x, first[:-1], first[1:]) for x in (h, h2))
+                at = anchors(h, first, window)
+                offsets = np.searchsorted(at, first)
+                owner = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+                keys = span_hash(h, at, at + reach)
+                blocks = span_hash(h, at, np.minimum(np.append(at[1:], len(h))[: len(at)], first[owner + 1]))
                 yield pa.RecordBatch.from_pydict({
-                    "t1": part.column("t1"), "t2": part.column("t2"), "n": pa.array(n, pa.int64()),
-                    "w1": pa.array(whole[0], pa.int64()), "w2": pa.array(whole[1], pa.int64()),
-                    "keys": pa.array(keys, pa.list_(pa.int64())), "blocks": pa.array(blocks, pa.list_(pa.int64())), "at": pa.array(positions, pa.list_(pa.int32())),
+                    "t1": part.column("t1"), "t2": part.column("t2"), "n": pa.array(np.diff(first)), "w1": _long(w1), "w2": _long(w2),
+                    "keys": _lists(keys.view(np.int64), offsets), "blocks": _lists(blocks.view(np.int64), offsets),
+                    "at": _lists((at - first[owner]).astype(np.int32), offsets),
                 })
 
     base = d.select("text", "t1", "t2").mapInArrow(digest, "t1 long, t2 long, n long, w1 long, w2 long, keys array<long>, blocks array<long>, at array<int>")
@@ -230,30 +258,27 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     plan = plan.groupBy("row").agg(F.collect_list(F.struct("at", "end", "here")).alias("plan"))  # one document's own
     plan = stored(plan.join(base.select("row", "t1", "t2"), "row"), "plan")
 
-    def spans(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Which of ``size`` places lie in one of the spans."""
-        change = np.zeros(size + 1, np.int64)
-        np.add.at(change, np.clip(low, 0, size), 1)
-        np.add.at(change, np.clip(high, 0, size), -1)
-        return np.cumsum(change[:size]) > 0
-
-    def listed_of(plan: pa.ListScalar, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of the windows and long symbols of a document that are to be hashed."""
-        values = plan.values
-        at = values.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
-        is_cover = values.field("end").is_valid().to_numpy(zero_copy_only=False)
-        end = values.field("end").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        here = values.field("here").to_numpy(zero_copy_only=False) & is_cover
-        m = size - window + 1
+    def listed_of(plans: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last word (one behind) of the windows and long symbols that are to be hashed, in documents laid end to end."""
+        owner, (at, end, here) = _entries(plans, "at", "end", "here")
+        begin, n = first[owner], int(first[-1])
+        is_cover = end.is_valid().to_numpy(zero_copy_only=False)
+        at = at.to_numpy(zero_copy_only=False).astype(np.int64) + begin
+        end = end.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + begin
+        here = here.to_numpy(zero_copy_only=False).astype(bool) & is_cover
+        last = np.maximum(first[owner + 1] - window + 1, begin)  # behind the last window of the document
+
+        def inside(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            return spans(n, np.clip(low, begin, last)[which], np.clip(high, begin, last)[which])
+
         # windows that hold the key of a shared block, but for those inside a long symbol that is not in its first place;
         # a symbol of a window's length is one of the windows
-        near = spans(m, at[~is_cover] - window + reach, at[~is_cover] + 1) & ~spans(m, at[is_cover], end[is_cover] - window + 1)
-        near |= spans(m, at[here], end[here] - window + 1)
+        near = inside(~is_cover, at - window + reach, at + 1) & ~inside(is_cover, at, end - window + 1)
+        near |= inside(here, at, end - window + 1)
         near[at[is_cover & (end - at == window)]] = True
         start = np.flatnonzero(near)
-        long = np.unique(np.stack([at[is_cover], end[is_cover]], axis=1), axis=0)
-        long = long[long[:, 1] - long[:, 0] > window]
-        return np.concatenate([start, long[:, 0]]), np.concatenate([start + window, long[:, 1]])
+        long = np.unique((at * (n + 1) + end)[is_cover & (end - at > window)])
+        return np.concatenate([start, long // (n + 1)]), np.concatenate([start + window, long % (n + 1)])
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -279,15 +304,17 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
         n = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                for row, plan, (h, h2) in zip(part.column("row").to_pylist(), part.column("plan"), _word_hashes(part.column("text")), strict=True):
-                    start, end = listed_of(plan, len(h))
-                    for k in range(0, len(start), HELD):
-                        a, b = start[k : k + HELD], end[k : k + HELD]
-                        held.append((span_hash(h, a, b, 0), span_hash(h2, a, b, 1), np.full(len(a), row, np.int64), a, b - a))
-                        n += len(a)
-                        if n >= HELD:
-                            yield from out()
-                            n = 0
+                h, h2, first = _word_hashes(part.column("text"))
+                start, end = listed_of(part.column("plan"), first)
+                rows = part.column("row").to_numpy()
+                for k in range(0, len(start), HELD):
+                    a, b = start[k : k + HELD], end[k : k + HELD]
+                    owner = np.searchsorted(first, a, side="right") - 1
+                    held.append((span_hash(h, a, b, 0), span_hash(h2, a, b, 1), rows[owner], a - first[owner], b - a))
+                    n += len(a)
+                    if n >= HELD:
+                        yield from out()
+                        n = 0
         if held:
             yield from out()
 
@@ -313,24 +340,27 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
             for part in slices(batch, "text"):
                 data, offsets = flat(part.column("text"))
                 begin, end, first = words(data, offsets)
-                raw, gone, texts = data.tobytes(), [], []
-                for i, (whole, starts) in enumerate(zip(part.column("whole").to_pylist(), part.column("starts"), strict=True)):
-                    a, b = first[i], first[i + 1]
-                    change = np.zeros(b - a + 1, np.int64)
-                    if starts.is_valid:
-                        s, n = (starts.values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "words"))
-                        np.add.at(change, s, 1)
-                        np.add.at(change, s + n, -1)
-                    drop = np.cumsum(change[: b - a]) > 0
-                    if whole:
-                        drop[:] = True
-                    keep = np.flatnonzero(~drop) + a
-                    texts.append(b" ".join([raw[x:y] for x, y in zip(begin[keep].tolist(), end[keep].tolist(), strict=True)]).decode())
-                    gone.append(int(drop.sum()))
+                first = first.astype(np.int64)
+                owner, (start, size) = _entries(part.column("starts"), "start", "words")
+                start = start.to_numpy(zero_copy_only=False).astype(np.int64) + first[owner]
+                drop = spans(len(begin), start, start + size.to_numpy(zero_copy_only=False))
+                drop |= np.repeat(pc.fill_null(part.column("whole"), False).to_numpy(zero_copy_only=False), np.diff(first))
+                gone = np.concatenate([[0], np.cumsum(drop)])[first]
+                # a kept word takes the byte behind it along as its blank, but for the last one of a text
+                keep = np.flatnonzero(~drop)
+                text_of = np.repeat(np.arange(part.num_rows), np.diff(first))[keep]
+                more = np.append(text_of[1:] == text_of[:-1], False)[: len(keep)]
+                stop = end[keep] + more
+                change = np.zeros(len(data) + 1, np.int8)
+                change[begin[keep]] += 1
+                change[stop] -= 1
+                kept = np.where(IS_SPACE[data], np.uint8(0x20), data)[np.cumsum(change[:-1], dtype=np.int8) > 0]
+                offsets = np.concatenate([[0], np.cumsum(stop - begin[keep])])[np.searchsorted(text_of, np.arange(part.num_rows + 1))]
+                raw = kept.tobytes()
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(gone, pa.int64()),
-                    "kept_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
-                    "text": pa.array(texts, pa.string()),
+                    "doc_id": part.column("doc_id"), "n_words": pa.array(np.diff(first)), "n_removed": pa.array(np.diff(gone).astype(np.int64)),
+                    "kept_sha256": pa.array([hashlib.sha256(raw[x:y]).hexdigest() for x, y in itertools.pairwise(offsets.tolist())], pa.string()),
+                    "text": pa.StringArray.from_buffers(part.num_rows, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)),
                 })
 
     return joined.mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept_sha256 string, text string")
