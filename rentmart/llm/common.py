@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -43,8 +44,9 @@ def let_go(spark: SparkSession) -> None:
     """Asks for the files of plans that are done with.
 
     Spark removes the shuffle files of a plan, and its checkpoints where the session says so, once the driver has collected it
-    as garbage.
+    as garbage, which it cannot while Python still holds one of its frames.
     """
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
@@ -124,6 +126,15 @@ def with_maybe(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame
     return df.withColumn(name, F.coalesce(bit, F.lit(False))).drop("_bucket", "_at", "_bits")
 
 
+def maybe_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` but for most of those whose ``key`` is not in ``keys``: wide rows are spared the shuffle of a join.
+
+    The bitmap goes by a hash of the key: numbers dealt out by partition agree in their lowest bits.
+    """
+    bits = cut_lineage(key_filter(keys.select(F.xxhash64(key).alias("_key")), "_key"))
+    return with_maybe(df.withColumn("_key", F.xxhash64(key)), "_key", bits, "_maybe").filter("_maybe").drop("_key", "_maybe")
+
+
 def roots(pointers: DataFrame) -> DataFrame:
     """(node, root): the pointers of (node, root), one per node and no cycle, followed to the last node.
 

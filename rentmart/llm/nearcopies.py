@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentmart.llm.common import components, cut_lineage, let_go, roots, small_batches, stored
+from rentmart.llm.common import components, cut_lineage, let_go, maybe_among, roots, small_batches, stored
 from rentmart.llm.lines import NO_ID
 from rentmart.llm.textarrays import LOWER, flat, ngram_hash, slices, span_hash, words
 
@@ -94,14 +94,17 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
         F.min(here).alias("h0"), F.min_by(here, F.xxhash64("doc", "value")).alias("h1"),
         F.min_by(here, F.struct("n", "doc")).alias("h2"), F.max_by(here, F.struct("n", "doc")).alias("h3"),
         F.max_by(here, F.struct("copies", F.bitwise_not("doc"))).alias("h4")))
+    let_go(classes.sparkSession)
     heads = F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3", "h4")))
     hot = early.join(long_, "value").select("doc", "n", heads.alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
     # short lists: the first LEADS short values of each class
     short = entries.join(long_.select("value"), "value", "left_anti")
     lists = cut_lineage(short.groupBy("doc", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "value"))), 1, LEADS).alias("lead")))
+    let_go(classes.sparkSession)
     common = cut_lineage(early.join(long_.select("value"), "value", "left_semi").select("value", "doc", "n", "rank"))
     lists = lists.select("doc", "n", F.explode("lead").alias("e")).groupBy("e.value").agg(F.collect_list(F.struct("doc", "n")).alias("members"))
     lists = cut_lineage(lists.filter(F.size("members") > 1))
+    let_go(classes.sparkSession)
     drawn = F.element_at("members", (F.pmod(F.xxhash64("value"), F.size("members")) + 1).cast("int"))
     ahead = lists.select(F.explode("members").alias("x"), F.array_distinct(F.array(F.array_min("members"), drawn)).alias("o"))
     ahead = ahead.select("x.doc", "x.n", F.explode("o").alias("o")).filter(f"doc != o.doc and 100 * least(n, o.n) >= {percent} * greatest(n, o.n)")
@@ -141,7 +144,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     """The pairs (a, b) whose full sets are alike: 100 * intersection >= percent * union."""
     pairs = cut_lineage(pairs.select("a", "b"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = stored(texts.join(wanted, "doc", "left_semi"), "texts")
+    texts = stored(maybe_among(texts, wanted, "doc").join(wanted, "doc", "left_semi"), "texts")
     left, right = (texts.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
 
@@ -179,7 +182,7 @@ def _open(common: DataFrame, parts: DataFrame, texts: DataFrame, size: int, perc
                     **{c: part.column(c).take(pa.array(at)) for c in ("doc", "n", "part")}, "value": pa.array(values.view(np.int64)),
                 })
 
-    held = texts.join(docs, "doc").mapInArrow(shingles, "doc long, n long, part long, value long")
+    held = maybe_among(texts, docs, "doc").join(docs, "doc").mapInArrow(shingles, "doc long, n long, part long, value long")
     held = stored(held, "shingles")
     several = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     # dealt out once, by what the window below goes by: the rows of one class and id are grouped where they lie
