@@ -10,10 +10,12 @@ from rentmart.plans import dims as D
 from rentmart.plans import fact as FT
 from rentmart.plans.concurrent import run_together
 from rentmart.plans.pipeline import build_marts, run_pipeline, truncate_all
+from rentmart.registry import QUERIES
 from rentmart.session import scratch_path
 from rentmart.sources import csv_feed, files, slices, testmap
 from rentmart.sources.tables import Warehouse
 from rentmart.streaming.incremental import IncrementalMarts
+from test_plans import plan
 
 
 @pytest.fixture
@@ -104,6 +106,12 @@ def test_old_rows_go_when_a_refresh_starts_anew(spark):
     assert wh.read("warehouse", "listings").count() == 0 and wh.read("warehouse", "dim_lga").count() == 25
 
 
+def test_star_is_stored_in_slices(spark, large):
+    df = QUERIES["dm_listing_neighbourhood_star"](spark, SF_SMALL)
+    assert "lineitem" not in plan(df)       # the joins of the fact are behind, their shuffles gone
+    assert (large["warehouse/listings"], large["warehouse/fact"]) == (2, 2)
+
+
 def test_a_step_is_cleared_when_it_is_done():
     told, lock = [], threading.Lock()
 
